@@ -30,21 +30,20 @@ def join_generation_demand(generation: DataFrame, demand: DataFrame) -> DataFram
     )
 
 
-def join_reliability_interchange(base: DataFrame, balance: DataFrame) -> DataFrame:
-    """Reliability base rows with the interchange of their hour, defaults filled in."""
+def join_balance(hours: DataFrame, balance: DataFrame) -> DataFrame:
+    """Hourly rows with the interchange of their hour and respondent, defaults filled in."""
     mwh, direction = interchange_defaults(F.col("interchange_mwh"), F.col("flow_direction"))
-    joined = base.join(
+    joined = hours.join(
         balance.select(*HOUR, "interchange_mwh", "flow_direction"), HOUR, "left"
     )
     return joined.select(
-        "period",
-        "respondent",
-        "report_date",
-        "demand_mwh",
-        "total_generation_mwh",
-        mwh.alias("interchange_mwh"),
-        direction.alias("flow_direction"),
-        net_available(F.col("total_generation_mwh"), F.col("interchange_mwh"))
-        .cast("double")
-        .alias("net_available_generation_mwh"),
+        *hours.columns, mwh.alias("interchange_mwh"), direction.alias("flow_direction")
+    )
+
+
+def join_reliability_interchange(base: DataFrame, balance: DataFrame) -> DataFrame:
+    """Reliability base rows with their interchange and the generation it leaves."""
+    net = net_available(F.col("total_generation_mwh"), F.col("interchange_mwh"))
+    return join_balance(base, balance).withColumn(
+        "net_available_generation_mwh", net.cast("double")
     )

@@ -72,18 +72,23 @@ def reliability_base(demand_vs_generation: DataFrame) -> DataFrame:
     return demand_vs_generation.select(*BASE_COLUMNS).distinct()
 
 
-def reliability_base_from_staging(
-    generation: DataFrame, demand: DataFrame, total_keys: Sequence[str] = POOLED
-) -> DataFrame:
-    """What ``reliability_base`` gives, without building the rows per fuel first.
+def hours_with_demand(generation: DataFrame, demand: DataFrame) -> DataFrame:
+    """Distinct hours that have generation, with the distinct demand readings of each.
 
     Fuels and copies are collapsed map-side before anything is shuffled for the join.
     """
     hours = generation.select(*HOUR, "report_date").distinct()
     readings = demand.select(*HOUR, "demand_mwh").distinct()
+    return hours.join(readings, HOUR, "left")
+
+
+def reliability_base_from_staging(
+    generation: DataFrame, demand: DataFrame, total_keys: Sequence[str] = POOLED
+) -> DataFrame:
+    """What ``reliability_base`` gives, without building the rows per fuel first."""
     totals = hourly_totals(generation, demand, total_keys)
     return (
-        hours.join(readings, HOUR, "left")
+        hours_with_demand(generation, demand)
         .join(totals, list(total_keys), "left")
         .select(*BASE_COLUMNS)
     )

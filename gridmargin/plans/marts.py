@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmargin.functions import flow_direction, grid_status, reserve_margin
-from gridmargin.operators.joins import join_generation_demand, join_reliability_interchange
+from gridmargin.functions import flow_direction, grid_status, net_available, reserve_margin
+from gridmargin.operators.joins import join_balance, join_generation_demand
 from gridmargin.operators.totals import (
+    BASE_COLUMNS,
     POOLED,
     hourly_totals,
+    hours_with_demand,
     reliability_base,
-    reliability_base_from_staging,
     with_totals,
 )
 from gridmargin.sources.storage import write_days
@@ -41,10 +42,16 @@ def interchange_balance(interchange: DataFrame) -> DataFrame:
     )
 
 
-def _reliability(base: DataFrame, balance: DataFrame) -> DataFrame:
+def _with_metrics(hours: DataFrame) -> DataFrame:
+    net = net_available(F.col("total_generation_mwh"), F.col("interchange_mwh"))
     margin = reserve_margin(F.col("net_available_generation_mwh"), F.col("demand_mwh"))
     return (
-        join_reliability_interchange(base, balance)
+        hours.select(
+            *BASE_COLUMNS,
+            "interchange_mwh",
+            "flow_direction",
+            net.cast("double").alias("net_available_generation_mwh"),
+        )
         .withColumn("reserve_margin_pct", margin)
         .withColumn("grid_status", grid_status(F.col("reserve_margin_pct")))
     )
@@ -52,7 +59,7 @@ def _reliability(base: DataFrame, balance: DataFrame) -> DataFrame:
 
 def grid_reliability(demand_vs_generation_mart: DataFrame, balance: DataFrame) -> DataFrame:
     """Reserve margin and status per hour and respondent, from the two other marts."""
-    return _reliability(reliability_base(demand_vs_generation_mart), balance)
+    return _with_metrics(join_balance(reliability_base(demand_vs_generation_mart), balance))
 
 
 def grid_reliability_from_staging(
@@ -61,9 +68,15 @@ def grid_reliability_from_staging(
     interchange: DataFrame,
     total_keys: Sequence[str] = POOLED,
 ) -> DataFrame:
-    """The same rows straight from staging; the rows per fuel are never shuffled whole."""
-    base = reliability_base_from_staging(generation, demand, total_keys)
-    return _reliability(base, interchange_balance(interchange))
+    """The same rows straight from staging; the rows per fuel are never shuffled whole.
+
+    Demand and interchange are joined first because they share one partitioning by hour and
+    respondent; the totals come last, so that pooled totals (one row per hour) cost a
+    broadcast, or else a single exchange whose oversized partitions AQE can split.
+    """
+    hours = join_balance(hours_with_demand(generation, demand), interchange_balance(interchange))
+    totals = hourly_totals(generation, demand, total_keys)
+    return _with_metrics(hours.join(totals, list(total_keys), "left"))
 
 
 def write_mart(mart: DataFrame, path: str) -> None:

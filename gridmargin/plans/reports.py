@@ -14,8 +14,15 @@ TARGET_MARGIN_PERCENT = 13.75
 DEFAULT_UNIT = "MWh"
 
 
-def latest(reliability: DataFrame) -> DataFrame:
-    """The row of the last period; the first respondent where several share it."""
+def latest(reliability: DataFrame, generation: DataFrame | None = None) -> DataFrame:
+    """The row of the last period; the first respondent where several share it.
+
+    Given the staged generation the mart is built on, the last period is looked up there
+    first and reaches every scan below the mart as a filter.
+    """
+    if generation is not None:
+        last = generation.select(F.max("period")).scalar()
+        reliability = reliability.filter(F.col("period") == last)
     return reliability.orderBy(F.desc("period"), "respondent").limit(1)
 
 

@@ -355,7 +355,8 @@ def mart_grid_reliability_resent_demand(spark, sf_dir):
 
 @query("latest_reliability")
 def latest_reliability(spark, sf_dir):
-    return reports.latest(mart_grid_reliability_per_respondent(spark, sf_dir))
+    frames = _models(spark, sf_dir, PER_RESPONDENT)
+    return reports.latest(frames["mart_grid_reliability"], frames["stg_generation_by_fuel"])
 
 
 @query("latest_kpis")
