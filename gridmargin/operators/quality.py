@@ -147,13 +147,49 @@ def unique_report(frames: dict[str, DataFrame], checks: dict[str, list[str]]) ->
     return reduce(DataFrame.unionByName, parts)
 
 
+def model_checks(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Null counts and repeated keys of one model as rows (check, columns, failures).
+
+    Both come from the grouping by key, so a model that is a view is evaluated once.
+    """
+    groups = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("copies"),
+        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in columns],
+    )
+    counted = groups.agg(
+        F.count_if(F.col("copies") > 1).alias("repeats"),
+        *[F.coalesce(F.sum(f"null_{c}"), F.lit(0)).alias(f"null_{c}") for c in columns],
+    )
+    rows = [("not_null", c, f"null_{c}") for c in columns]
+    rows.append(("unique_combination", ", ".join(keys), "repeats"))
+    return counted.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(check).alias("check"),
+                        F.lit(names).alias("columns"),
+                        F.col(count).alias("failures"),
+                    )
+                    for check, names, count in rows
+                ]
+            )
+        )
+    )
+
+
 def quality_report(frames: dict[str, DataFrame]) -> DataFrame:
     """All checks of sources and models as one table (check, table, columns, failures)."""
-    nulls = not_null_report(frames, {**SOURCE_NOT_NULL, **MODEL_NOT_NULL})
-    repeats = unique_report(frames, MODEL_UNIQUE)
-    return nulls.select(
-        F.lit("not_null").alias("check"), "table", F.col("column").alias("columns"), "failures"
-    ).unionByName(repeats.select(F.lit("unique_combination").alias("check"), *repeats.columns))
+    nulls = not_null_report({t: frames[t] for t in SOURCE_NOT_NULL}, SOURCE_NOT_NULL)
+    parts = [
+        nulls.select(
+            F.lit("not_null").alias("check"), "table", F.col("column").alias("columns"), "failures"
+        )
+    ]
+    for name, keys in MODEL_UNIQUE.items():
+        checks = model_checks(frames[name], MODEL_NOT_NULL[name], keys)
+        parts.append(checks.select("check", F.lit(name).alias("table"), "columns", "failures"))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def warehouse_key_repeats(frames: dict[str, DataFrame]) -> DataFrame:

@@ -13,6 +13,7 @@ def spark(tmp_path_factory):
             "spark.master": "local[4]",
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "2000",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

@@ -88,3 +88,16 @@ def test_facets_restrict_each_other_and_offer_alternatives(spark):
 def test_empty_facet_does_not_restrict_and_rows_come_by_period(spark):
     got = extracted(spark, {"respondent": []})
     assert got == [BULK[1], BULK[4], BULK[3], BULK[2]]
+
+
+def test_extract_filters_reach_the_scan(spark, tmp_path):
+    bulk = spark.createDataFrame(BULK, "period string, respondent string, type string")
+    bulk.write.parquet(str(tmp_path / "bulk"))
+    stored = spark.read.parquet(str(tmp_path / "bulk"))
+    selected = extract(stored, {"respondent": ["A", "B"], "type": ["D"]}, "2024-01-02T00", "2024-01-02T23")
+    plan = selected._jdf.queryExecution().executedPlan().toString()
+    for pushed in (
+        "In(respondent, [A,B])", "EqualTo(type,D)",
+        "GreaterThanOrEqual(period,2024-01-02T00)", "LessThanOrEqual(period,2024-01-02T23)",
+    ):
+        assert pushed in plan

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 from gridmargin.operators.quality import (
+    model_checks,
     MODEL_NOT_NULL,
     MODEL_UNIQUE,
     SOURCE_NOT_NULL,
@@ -23,6 +24,13 @@ def test_unique_combination_groups_nulls(spark):
     assert {tuple(r) for r in unique_combination(df, ["x", "y"]).collect()} == {("a", 1, 2), (None, 3, 2)}
 
 
+def test_model_checks_on_empty_input_are_zero(spark):
+    df = spark.createDataFrame([], "x string, y int")
+    assert {tuple(r) for r in model_checks(df, ["y"], ["x"]).collect()} == {
+        ("not_null", "y", 0), ("unique_combination", "x", 0),
+    }
+
+
 def raw(spark, name, rows):
     spec = DATASETS[name]
     return spark.sql(f"select * from values {rows} as t({', '.join(spec.warehouse.names)})")
