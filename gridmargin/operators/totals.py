@@ -44,6 +44,13 @@ def hourly_totals(
     )
 
 
+def join_totals(hours: DataFrame, totals: DataFrame, total_keys: Sequence[str]) -> DataFrame:
+    """All rows of ``hours`` with their total."""
+    return hours.join(totals, list(total_keys), "left").select(
+        *hours.columns, "total_generation_mwh"
+    )
+
+
 def with_totals(
     joined: DataFrame, total_keys: Sequence[str] = POOLED, totals: DataFrame | None = None
 ) -> DataFrame:
@@ -57,10 +64,8 @@ def with_totals(
             exact_sum(F.col("generation_mwh")).cast("double").alias("total_generation_mwh")
         )
     delta = exact(F.col("total_generation_mwh")) - exact(F.col("demand_mwh"))
-    return joined.join(totals, list(total_keys), "left").select(
-        *joined.columns,
-        "total_generation_mwh",
-        delta.cast("double").alias("supply_demand_delta_mwh"),
+    return join_totals(joined, totals, total_keys).withColumn(
+        "supply_demand_delta_mwh", delta.cast("double")
     )
 
 
@@ -87,8 +92,5 @@ def reliability_base_from_staging(
 ) -> DataFrame:
     """What ``reliability_base`` gives, without building the rows per fuel first."""
     totals = hourly_totals(generation, demand, total_keys)
-    return (
-        hours_with_demand(generation, demand)
-        .join(totals, list(total_keys), "left")
-        .select(*BASE_COLUMNS)
-    )
+    hours = hours_with_demand(generation, demand)
+    return join_totals(hours, totals, total_keys).select(*BASE_COLUMNS)

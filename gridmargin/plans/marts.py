@@ -14,6 +14,7 @@ from gridmargin.operators.totals import (
     POOLED,
     hourly_totals,
     hours_with_demand,
+    join_totals,
     reliability_base,
     with_totals,
 )
@@ -76,7 +77,7 @@ def grid_reliability_from_staging(
     """
     hours = join_balance(hours_with_demand(generation, demand), interchange_balance(interchange))
     totals = hourly_totals(generation, demand, total_keys)
-    return _with_metrics(hours.join(totals, list(total_keys), "left"))
+    return _with_metrics(join_totals(hours, totals, total_keys))
 
 
 def write_mart(mart: DataFrame, path: str) -> None:
