@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmargin.functions import exact, exact_sum
-from gridmargin.operators.joins import HOUR
+from gridmargin.operators.joins import HOUR, with_day
 
 # What the totals are summed over: an hour of all respondents together, or of each one.
 POOLED = ("period",)
@@ -44,15 +44,21 @@ def hourly_totals(
     )
 
 
-def join_totals(hours: DataFrame, totals: DataFrame, total_keys: Sequence[str]) -> DataFrame:
+def join_totals(
+    hours: DataFrame, totals: DataFrame, total_keys: Sequence[str], repeats: bool = False
+) -> DataFrame:
     """All rows of ``hours`` with their total."""
-    return hours.join(totals, list(total_keys), "left").select(
-        *hours.columns, "total_generation_mwh"
-    )
+    keys, columns = list(total_keys), [*hours.columns, "total_generation_mwh"]
+    if repeats:
+        hours, totals, keys = with_day(hours), with_day(totals), [*keys, "day"]
+    return hours.join(totals, keys, "left").select(*columns)
 
 
 def with_totals(
-    joined: DataFrame, total_keys: Sequence[str] = POOLED, totals: DataFrame | None = None
+    joined: DataFrame,
+    total_keys: Sequence[str] = POOLED,
+    totals: DataFrame | None = None,
+    repeats: bool = False,
 ) -> DataFrame:
     """Joined rows plus ``total_generation_mwh`` and ``supply_demand_delta_mwh``.
 
@@ -64,7 +70,7 @@ def with_totals(
             exact_sum(F.col("generation_mwh")).cast("double").alias("total_generation_mwh")
         )
     delta = exact(F.col("total_generation_mwh")) - exact(F.col("demand_mwh"))
-    return join_totals(joined, totals, total_keys).withColumn(
+    return join_totals(joined, totals, total_keys, repeats).withColumn(
         "supply_demand_delta_mwh", delta.cast("double")
     )
 

@@ -16,19 +16,27 @@ from gridmargin.operators.totals import (
     hours_with_demand,
     join_totals,
     reliability_base,
+    reliability_base_from_staging,
     with_totals,
 )
-from gridmargin.sources.storage import write_days
+from gridmargin.sources.storage import replace_directory, write_days
 
 
 def demand_vs_generation(
-    generation: DataFrame, demand: DataFrame, total_keys: Sequence[str] = POOLED
+    generation: DataFrame,
+    demand: DataFrame,
+    total_keys: Sequence[str] = POOLED,
+    repeats: bool = False,
 ) -> DataFrame:
-    """Generation per fuel beside demand, the hour's generation total and their delta."""
+    """Generation per fuel beside demand, the hour's generation total and their delta.
+
+    ``repeats`` says that generation or demand keys repeat, as the uniqueness checks report.
+    """
     return with_totals(
-        join_generation_demand(generation, demand),
+        join_generation_demand(generation, demand, repeats),
         total_keys,
         hourly_totals(generation, demand, total_keys),
+        repeats,
     )
 
 
@@ -58,9 +66,15 @@ def _with_metrics(hours: DataFrame) -> DataFrame:
     )
 
 
-def grid_reliability(demand_vs_generation_mart: DataFrame, balance: DataFrame) -> DataFrame:
-    """Reserve margin and status per hour and respondent, from the two other marts."""
-    return _with_metrics(join_balance(reliability_base(demand_vs_generation_mart), balance))
+def grid_reliability(
+    demand_vs_generation_mart: DataFrame, balance: DataFrame, repeats: bool = False
+) -> DataFrame:
+    """Reserve margin and status per hour and respondent, from the two other marts.
+
+    ``repeats`` says that interchange keys repeat, as the uniqueness check reports.
+    """
+    base = reliability_base(demand_vs_generation_mart)
+    return _with_metrics(join_balance(base, balance, repeats))
 
 
 def grid_reliability_from_staging(
@@ -68,18 +82,28 @@ def grid_reliability_from_staging(
     demand: DataFrame,
     interchange: DataFrame,
     total_keys: Sequence[str] = POOLED,
+    repeats: bool = False,
 ) -> DataFrame:
     """The same rows straight from staging; the rows per fuel are never shuffled whole.
 
     Demand and interchange are joined first because they share one partitioning by hour and
     respondent; the totals come last, so that pooled totals (one row per hour) cost a
-    broadcast, or else a single exchange whose oversized partitions AQE can split.
+    broadcast, or else a single exchange. With ``repeats`` the interchange comes last, as the
+    only join in its stage. Repeats of generation and demand rows collapse in any case.
     """
-    hours = join_balance(hours_with_demand(generation, demand), interchange_balance(interchange))
+    balance = interchange_balance(interchange)
+    if repeats:
+        base = reliability_base_from_staging(generation, demand, total_keys)
+        return _with_metrics(join_balance(base, balance, repeats=True))
+    hours = join_balance(hours_with_demand(generation, demand), balance)
     totals = hourly_totals(generation, demand, total_keys)
     return _with_metrics(join_totals(hours, totals, total_keys))
 
 
 def write_mart(mart: DataFrame, path: str) -> None:
-    """Store a mart that has a ``report_date``, partitioned by it."""
-    write_days(mart, path, "report_date", "respondent", "period")
+    """Store a mart that has a ``report_date``, partitioned by it, replacing an earlier one."""
+    replace_directory(
+        mart.sparkSession,
+        path,
+        lambda staging: write_days(mart, staging, "report_date", "respondent", "period"),
+    )

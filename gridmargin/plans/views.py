@@ -17,8 +17,13 @@ from gridmargin.schemas import DATASETS
 from gridmargin.sources.warehouse import read_warehouse
 
 
-def models(raw: dict[str, DataFrame], total_keys: Sequence[str] = POOLED) -> dict[str, DataFrame]:
-    """Every staging and mart frame by name, from the RAW frames by table name."""
+def models(
+    raw: dict[str, DataFrame], total_keys: Sequence[str] = POOLED, repeats: bool = False
+) -> dict[str, DataFrame]:
+    """Every staging and mart frame by name, from the RAW frames by table name.
+
+    ``repeats`` says that some warehouse key repeats, as ``warehouse_key_repeats`` reports.
+    """
     demand = stg_demand(raw["raw_demand"])
     interchange = stg_interchange(raw["raw_interchange"])
     generation = stg_generation_by_fuel(raw["raw_generation_by_fuel"])
@@ -26,20 +31,25 @@ def models(raw: dict[str, DataFrame], total_keys: Sequence[str] = POOLED) -> dic
         "stg_demand": demand,
         "stg_interchange": interchange,
         "stg_generation_by_fuel": generation,
-        "mart_demand_vs_generation": demand_vs_generation(generation, demand, total_keys),
+        "mart_demand_vs_generation": demand_vs_generation(
+            generation, demand, total_keys, repeats
+        ),
         "mart_interchange_balance": interchange_balance(interchange),
         "mart_grid_reliability": grid_reliability_from_staging(
-            generation, demand, interchange, total_keys
+            generation, demand, interchange, total_keys, repeats
         ),
     }
 
 
 def register_views(
-    spark: SparkSession, warehouse_base: str, total_keys: Sequence[str] = POOLED
+    spark: SparkSession,
+    warehouse_base: str,
+    total_keys: Sequence[str] = POOLED,
+    repeats: bool = False,
 ) -> dict[str, DataFrame]:
     """Register RAW tables, staging and marts as temp views; returns them by name."""
     raw = {d.table: read_warehouse(spark, warehouse_base, d) for d in DATASETS.values()}
-    frames = {**raw, **models(raw, total_keys)}
+    frames = {**raw, **models(raw, total_keys, repeats)}
     for name, frame in frames.items():
         frame.createOrReplaceTempView(name)
     return frames

@@ -35,7 +35,8 @@ def replace_directory(
 
     A failing write or check leaves the previous content alone. The staging directory
     starts with an underscore, which Spark's readers skip, and lies beside the target so
-    that the swap is a rename on file systems that have one.
+    that the swap is a rename on file systems that have one. Should the driver die between
+    the two renames, the previous content is still there as ``_previous-*``.
     """
     fs, target = _file_system(spark, path)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path

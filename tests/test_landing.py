@@ -35,6 +35,13 @@ def test_rerun_replaces_the_day_only(spark, tmp_path):
     assert lines(tmp_path, day="2026-08-09") == ['{"a":3}']
 
 
+def test_no_rows_clear_the_day(spark, tmp_path):
+    row = ("BA0", "2026-08-08T00", "1", "megawatthours")
+    for rows in ([row], []):
+        land(spark.createDataFrame(rows, DEMAND.raw), str(tmp_path), "demand", DAY)
+    assert read_raw(spark, str(tmp_path), "demand", RAW_DEMAND_SCHEMA, DAY).count() == 0
+
+
 def written(tmp_path, text):
     day = tmp_path / "demand" / f"dt={DAY}"
     day.mkdir(parents=True)

@@ -108,6 +108,7 @@ def check(spark, generation, demand, interchange, keys):
     ]
     assert rows(dvg) == mart
     assert rows(with_totals(join_generation_demand(g, d), keys)) == mart
+    assert rows(demand_vs_generation(g, d, keys, repeats=True)) == mart
     m3 = grid_reliability_from_staging(g, d, i, keys)
     assert m3.columns == [
         "period", "respondent", "report_date", "demand_mwh", "total_generation_mwh",
@@ -116,6 +117,7 @@ def check(spark, generation, demand, interchange, keys):
     ]
     assert rows(m3) == reliability
     assert rows(grid_reliability(dvg, interchange_balance(i))) == reliability
+    assert rows(grid_reliability_from_staging(g, d, i, keys, repeats=True)) == reliability
     assert rows(reliability_base_from_staging(g, d, keys)) == rows(reliability_base(dvg))
 
 
@@ -208,7 +210,8 @@ def test_stored_mart(spark, tmp_path):
         spark, [("A", "x", T0, 9.0, D1), ("A", "x", T1, 9.0, D2)], [("A", T0, 8.0)]
     )
     mart = grid_reliability_from_staging(g, d, i)
-    write_mart(mart, str(tmp_path / "m"))
+    for _ in range(2):
+        write_mart(mart, str(tmp_path / "m"))
     back = spark.read.parquet(str(tmp_path / "m"))
     assert rows(back.select(*mart.columns)) == rows(mart)
 

@@ -340,14 +340,16 @@ def _resent(demand: DataFrame) -> DataFrame:
 @query("mart_demand_vs_generation_resent_demand")
 def mart_demand_vs_generation_resent_demand(spark, sf_dir):
     generation, demand = _staging(spark, sf_dir)
-    return demand_vs_generation(generation, _resent(demand))
+    return demand_vs_generation(generation, _resent(demand), repeats=True)
 
 
 @query("mart_grid_reliability_resent_demand")
 def mart_grid_reliability_resent_demand(spark, sf_dir):
     generation, demand = _staging(spark, sf_dir)
     interchange = stg_interchange_query(spark, sf_dir)
-    return grid_reliability_from_staging(generation, _resent(demand), interchange)
+    return grid_reliability_from_staging(
+        generation, _resent(demand), interchange, repeats=True
+    )
 
 
 # Reports
