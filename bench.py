@@ -36,6 +36,8 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     start = time.perf_counter()
+    for table in ("region", "fuel"):
+        layers.bulk(spark, sf_dir, table)
     for name in DATASETS:
         layers.curated(spark, sf_dir, name)
     layers.raw_tables(spark, sf_dir)

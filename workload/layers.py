@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from gridmargin.schemas import DATASETS
 from gridmargin.session import scratch_dir
-from gridmargin.sources.landing import read_raw
 from gridmargin.sources.curated import transform
+from gridmargin.sources.landing import read_raw
 from gridmargin.sources.storage import write_days
 from gridmargin.sources.warehouse import read_warehouse, warehouse_columns
 from workload import fixtures
@@ -34,6 +34,16 @@ def _once(spark: SparkSession, sf_dir: str, layer: str, write: Callable[[str], N
         return _written[key]
 
 
+def bulk(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """The long text tables the daily feeds are extracted from, as Parquet."""
+    frame = {"region": fixtures.bulk_region_table, "fuel": fixtures.bulk_fuel_table}[table]
+
+    def write(path: str) -> None:
+        frame(spark, sf_dir).sortWithinPartitions("period").write.parquet(path)
+
+    return spark.read.parquet(_once(spark, sf_dir, f"bulk-{table}", write))
+
+
 def landing(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     """NDJSON of all days, read back as text with the day as ``dt``."""
     spec = DATASETS[dataset]

@@ -84,10 +84,7 @@ def raw_scan_roundtrip(spark, sf_dir):
 
 
 def _extract(spark, sf_dir, dataset):
-    if dataset is GENERATION:
-        bulk = fixtures.bulk_fuel_table(spark, sf_dir)
-    else:
-        bulk = fixtures.bulk_region_table(spark, sf_dir)
+    bulk = layers.bulk(spark, sf_dir, "fuel" if dataset is GENERATION else "region")
     facets = {"respondent": EXTRACT_RESPONDENTS, **dataset.facets}
     return extract(bulk, facets, EXTRACT_START, EXTRACT_END)
 
