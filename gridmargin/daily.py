@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 import logging
 import sys
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime, timedelta
@@ -16,6 +16,7 @@ from datetime import UTC, date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmargin.operators.quality import DataValidationError
+from gridmargin.operators.totals import POOLED
 from gridmargin.plans.views import register_views
 from gridmargin.schemas import DATASETS, Dataset
 from gridmargin.session import get_session
@@ -117,6 +118,7 @@ def run_day(
     run_date: date,
     sources: dict[str, DataFrame] | None = None,
     facets: dict[str, list[str]] | None = None,
+    total_keys: Sequence[str] = POOLED,
 ) -> RunReport:
     """Land (if bulk sources are given), curate, load and model one day, in that order.
 
@@ -126,7 +128,7 @@ def run_day(
     stages: list[tuple[str, Callable[[], list[str]]]] = [
         ("curate", lambda: run(spark, where["landing"], where["curated"], run_date)),
         ("load", lambda: load_all(spark, where["curated"], where["warehouse"], run_date)),
-        ("model", lambda: register_views(spark, where["warehouse"]) and []),
+        ("model", lambda: register_views(spark, where["warehouse"], total_keys) and []),
     ]
     if sources is not None:
         stages.insert(0, ("land", lambda: land_all(sources, where["landing"], run_date, facets)))

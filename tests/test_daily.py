@@ -56,6 +56,12 @@ def test_a_day_end_to_end(spark, tmp_path):
     assert load_mart(spark, "mart_demand_vs_generation", cached=True).count() == 96
 
 
+def test_several_respondents_with_their_own_totals(spark, tmp_path):
+    daily.run_day(spark, str(tmp_path), DAY, bulk(spark), total_keys=("period", "respondent"))
+    totals = load_mart(spark, "mart_grid_reliability").select("total_generation_mwh")
+    assert [r[0] for r in totals.collect()] == [120.0] * 48
+
+
 def test_a_rejected_dataset_is_skipped_and_ends_the_run(spark, tmp_path):
     sources = bulk(spark)
     broken = sources["interchange"].selectExpr("period", "respondent", "type", "'x' as value", "`value-units`")
