@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmargin.llm.packing import op7_pack_power_of_two
+from gridmargin.llm.quality import op1_bradley_terry
+from gridmargin.llm.rules import OP9_SQL, op9_risk_controlled_rules
 from gridmargin.llm.simhash import op3_simhash_ball
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bradley_terry": op1_bradley_terry,
     "op3_simhash_ball": op3_simhash_ball,
     "op7_pack_power_of_two": op7_pack_power_of_two,
+    "op9_risk_controlled_rules": op9_risk_controlled_rules,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op9_risk_controlled_rules": OP9_SQL}
