@@ -10,11 +10,13 @@ from gridmargin.llm.packing import op7_pack_power_of_two
 from gridmargin.llm.quality import op1_bradley_terry
 from gridmargin.llm.rules import OP9_SQL, op9_risk_controlled_rules
 from gridmargin.llm.simhash import op3_simhash_ball
+from gridmargin.llm.style_tree import op2_site_style_tree
 from gridmargin.llm.suffixes import op8_suffix_intervals
 from gridmargin.llm.superkmers import op5_super_kmers
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bradley_terry": op1_bradley_terry,
+    "op2_site_style_tree": op2_site_style_tree,
     "op3_simhash_ball": op3_simhash_ball,
     "op5_super_kmers": op5_super_kmers,
     "op7_pack_power_of_two": op7_pack_power_of_two,
