@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gridmargin.llm.graph import op6_pruned_graph
 from gridmargin.llm.packing import op7_pack_power_of_two
 from gridmargin.llm.quality import op1_bradley_terry
 from gridmargin.llm.rules import OP9_SQL, op9_risk_controlled_rules
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_site_style_tree": op2_site_style_tree,
     "op3_simhash_ball": op3_simhash_ball,
     "op5_super_kmers": op5_super_kmers,
+    "op6_pruned_graph": op6_pruned_graph,
     "op7_pack_power_of_two": op7_pack_power_of_two,
     "op8_suffix_intervals": op8_suffix_intervals,
     "op9_risk_controlled_rules": op9_risk_controlled_rules,
