@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmargin.llm.graph import op6_pruned_graph
+from gridmargin.llm.lm_scoring import op10_gated_recurrent
 from gridmargin.llm.packing import op7_pack_power_of_two
 from gridmargin.llm.quality import op1_bradley_terry
 from gridmargin.llm.rules import OP9_SQL, op9_risk_controlled_rules
@@ -24,5 +25,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_pack_power_of_two": op7_pack_power_of_two,
     "op8_suffix_intervals": op8_suffix_intervals,
     "op9_risk_controlled_rules": op9_risk_controlled_rules,
+    "op10_gated_recurrent": op10_gated_recurrent,
 }
 ORACLE: dict[str, str] = {"op9_risk_controlled_rules": OP9_SQL}
