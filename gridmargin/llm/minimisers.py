@@ -9,15 +9,17 @@ equal windows would have their minimiser at the same place in them, hence in two
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridmargin.llm.common import stored
+
 _CHUNK = 1 << 19  # units handled at once; a place in a chunk fits into _PLACE bits
 _PLACE = 20
 _MASK = np.uint64((1 << _PLACE) - 1)
@@ -79,14 +81,31 @@ def _slide_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
+@cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of an odd number and of its inverse, for digests of parts of a chunk."""
+    inverse = np.uint64(pow(int(_FACTORS[6]), -1, 1 << 64))
+    return tuple(
+        np.cumprod(np.concatenate([[np.uint64(1)], np.full(2 * _CHUNK, f, np.uint64)]))
+        for f in (_FACTORS[6], inverse)
+    )
+
+
+def _digests(units: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """A 64-bit digest of the units first..last-1 of each run."""
+    up, down = _powers()
+    sums = np.concatenate([[np.uint64(0)], np.cumsum(units * up[: len(units)])])
+    return mix((sums[last] - sums[first]) * down[first] + (last - first).astype(np.uint64))
+
+
 def _runs(units: np.ndarray, ends: np.ndarray, windows: Windows) -> tuple[np.ndarray, ...]:
-    """Minimiser hash, start and number of windows of every run in joined documents.
+    """Minimiser hash, digest, start and number of windows of every run in joined documents.
 
     ``ends`` has the end of the document for every unit.
     """
     n = len(units) - windows.k + 1
     if n <= 0:
-        return (np.empty(0, np.uint64),) + (np.empty(0, np.int64),) * 2
+        return (np.empty(0, np.uint64),) * 2 + (np.empty(0, np.int64),) * 2
     grams, size = units, 1
     while size < windows.m:
         grams = grams[:-size] * _FACTORS[size.bit_length() - 1] + grams[size:]
@@ -101,13 +120,13 @@ def _runs(units: np.ndarray, ends: np.ndarray, windows: Windows) -> tuple[np.nda
     count = np.diff(np.concatenate([first, [n]]))
     used = place[first] >= 0
     first, count = first[used], count[used]
-    return grams[place[first]], first, count
+    return grams[place[first]], _digests(units, first, first + count + windows.k - 1), first, count
 
 
 def document_runs(
     docs: list[bytes], windows: Windows
-) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(document number, minimiser, start unit, windows) of all runs, a chunk at a time.
+) -> Iterator[tuple[np.ndarray, ...]]:
+    """(document number, minimiser, digest, start unit, windows) of all runs, by chunks.
 
     Long documents are handled in chunks that overlap by k - 1 units.
     """
@@ -131,12 +150,18 @@ def document_runs(
 def _joined(pieces: list[tuple[int, int, np.ndarray]], windows: Windows) -> tuple[np.ndarray, ...]:
     lengths = np.array([len(p[2]) for p in pieces])
     ends = np.cumsum(lengths)
-    grams, first, count = _runs(
+    grams, digests, first, count = _runs(
         np.concatenate([p[2] for p in pieces]), np.repeat(ends, lengths), windows
     )
     at = np.searchsorted(ends, first, "right")
     numbers, starts = np.array([p[0] for p in pieces]), np.array([p[1] for p in pieces])
-    return numbers[at], grams.view(np.int64), first - (ends - lengths)[at] + starts[at], count
+    return (
+        numbers[at],
+        grams.view(np.int64),
+        digests.view(np.int64),
+        first - (ends - lengths)[at] + starts[at],
+        count,
+    )
 
 
 def row_key() -> Column:
@@ -152,59 +177,105 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_runs(docs: DataFrame, windows: Windows) -> DataFrame:
-    """(doc_id, row, start, n, mini, key, packed): runs whose minimiser occurs more than once.
+    """(mini, key, doc_id, row, start, n): runs whose minimiser occurs more than once.
 
-    First only minimisers travel, to be counted with partial sums. The runs of the repeated
-    ones are then sent to their documents, which cut out the run as one packed string. ``key``
-    is a 128-bit digest of it. ``docs`` is that of :func:`keyed`.
+    First only minimisers travel, to be counted with partial sums; then the runs of repeated
+    ones, without their text. ``mini`` and ``key``, two independent 64-bit hashes of a run's
+    units, stand for its content. ``docs`` is that of :func:`keyed`.
     """
 
     def places(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = batch["row"].to_numpy()
-            for number, mini, start, count in document_runs(
+            rows, ids = batch["row"].to_numpy(), batch["doc_id"].astype("Int64")
+            for number, mini, key, start, count in document_runs(
                 [t.encode() for t in batch["text"]], windows
             ):
-                yield pd.DataFrame({"mini": mini, "row": rows[number], "place": start * 256 + count})
+                yield pd.DataFrame(
+                    {
+                        "mini": mini,
+                        "key": key,
+                        "doc_id": ids.iloc[number].to_numpy(),
+                        "row": rows[number],
+                        "place": start * 256 + count,
+                    }
+                ).astype({"doc_id": "Int64"})
+
+    if windows.k - windows.m + 1 > 255:
+        raise ValueError("a run must have fewer than 256 windows")
+    runs = docs.select(F.col("doc_id").cast("long"), "text", "row").mapInPandas(
+        places, "mini long, key long, doc_id long, row long, place long"
+    )
+    repeated = runs.groupBy("mini").agg(F.count(F.lit(1)).alias("runs")).filter("runs > 1")
+    return stored(
+        runs.join(repeated, "mini", "left_semi").select(
+            "mini",
+            "key",
+            "doc_id",
+            "row",
+            F.shiftright("place", 8).alias("start"),
+            F.col("place").bitwiseAND(F.lit(255).cast("long")).alias("n"),
+        ),
+        "runs",
+    )
+
+
+def distinct_runs(occurrences: DataFrame) -> DataFrame:
+    """(mini, key, first, copied, n): runs of one content, the first of them, and if it recurs.
+
+    ``first`` holds doc_id, row and start; the smallest comes first.
+    """
+    at = F.struct("doc_id", "row", "start")
+    return stored(
+        occurrences.groupBy("mini", "key").agg(
+            F.min(at).alias("first"),
+            (F.min(at) != F.max(at)).alias("copied"),
+            F.min("n").alias("n"),
+        ),
+        "distinct-runs",
+    )
+
+
+def mixed_buckets(distinct: DataFrame, k: int) -> DataFrame:
+    """(mini, units): minimisers at which different runs meet, and how long these are together."""
+    return (
+        distinct.groupBy("mini")
+        .agg(F.count(F.lit(1)).alias("strings"), F.sum(F.col("n") + (k - 1)).alias("units"))
+        .filter("strings > 1")
+        .select("mini", "units")
+    )
+
+
+def packed_runs(docs: DataFrame, runs: DataFrame, windows: Windows) -> DataFrame:
+    """``runs`` (mini, key, first, n) with ``packed``, their units as one string.
+
+    The first occurrence of each run is cut out of its document.
+    """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out, size = [], 0
-            for doc_id, text, row, found, minis in zip(
-                *(batch[c] for c in ("doc_id", "text", "row", "places", "minis")), strict=True
-            ):
+            for text, found in zip(batch["text"], batch["found"], strict=True):
                 data = text.encode()
                 words = data.split() if windows.words else None
-                for place, mini in sorted(set(zip(found.tolist(), minis.tolist(), strict=True))):
-                    start, count = divmod(place, 256)
+                for run in found:
+                    mini, key, start, count = (int(run[c]) for c in ("mini", "key", "start", "n"))
                     stop = start + count + windows.k - 1
                     packed = b" ".join(words[start:stop]) if windows.words else data[start:stop]
-                    key = hashlib.blake2b(packed, digest_size=16).digest()
-                    out.append((doc_id, row, start, count, mini, key, packed))
+                    out.append((mini, key, packed))
                     size += len(packed)
                 if size > 1 << 23:
-                    yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
+                    yield pd.DataFrame(out, columns=["mini", "key", "packed"])
                     out, size = [], 0
             if out:
-                yield pd.DataFrame(out, columns=columns).astype({"doc_id": "Int64"})
+                yield pd.DataFrame(out, columns=["mini", "key", "packed"])
 
-    columns = ["doc_id", "row", "start", "n", "mini", "key", "packed"]
-    if windows.k - windows.m + 1 > 255:
-        raise ValueError("a run must have fewer than 256 windows")
-    runs = docs.select("row", "text").mapInPandas(places, "mini long, row long, place long")
-    repeated = runs.groupBy("mini").agg(F.count(F.lit(1)).alias("runs")).filter("runs > 1")
     wanted = (
-        runs.join(repeated, "mini", "left_semi")
+        runs.select("first.row", F.struct("mini", "key", "first.start", "n").alias("run"))
         .groupBy("row")
-        .agg(  # at most one run per unit of a document
-            F.collect_list("place").alias("places"), F.collect_list("mini").alias("minis")
-        )
+        .agg(F.collect_list("run").alias("found"))  # at most one per unit of a document
     )
     return (
         docs.join(wanted, "row")
-        .select(F.col("doc_id").cast("long"), "text", "row", "places", "minis")
-        .mapInPandas(
-            cut,
-            "doc_id long, row long, start long, n long, mini long, key binary, packed binary",
-        )
+        .select("text", "found")
+        .mapInPandas(cut, "mini long, key long, packed binary")
     )

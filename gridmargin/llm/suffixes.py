@@ -15,7 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmargin.llm.common import table
-from gridmargin.llm.minimisers import Windows, keyed, repeated_runs
+from gridmargin.llm.minimisers import (
+    Windows,
+    distinct_runs,
+    keyed,
+    mixed_buckets,
+    packed_runs,
+    repeated_runs,
+)
 from gridmargin.llm.superkmers import spans_of, with_windows
 
 M_BYTES = 32
@@ -125,7 +132,7 @@ def repeated_bytes(docs: DataFrame, k: int, bucket_bytes: int = BUCKET_BYTES) ->
     """
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys: list[bytes] = []
+        keys: list[tuple[int, int]] = []
         strings: list[bytes] = []
         size, last = 0, None
         for batch in batches:
@@ -134,60 +141,53 @@ def repeated_bytes(docs: DataFrame, k: int, bucket_bytes: int = BUCKET_BYTES) ->
                 if mini != last and size > _BATCH:
                     yield marks(keys, strings)
                     keys, strings, size = [], [], 0
-                keys.append(key)
+                keys.append((mini, key))
                 strings.append(packed)
                 size, last = size + len(packed), mini
         if strings:
             yield marks(keys, strings)
 
-    def marks(keys: list[bytes], strings: list[bytes]) -> pd.DataFrame:
+    def marks(keys: list[tuple[int, int]], strings: list[bytes]) -> pd.DataFrame:
         out = []
         for key, marked in zip(keys, repeated_starts(strings, k), strict=True):
             edge = np.diff(np.concatenate([[0], marked.view(np.int8), [0]]))
             starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-            out += [(key, s, e - s) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
-        return pd.DataFrame(out, columns=["key", "offset", "n"])
-
-    occurrences = repeated_runs(docs, Windows(k, min(M_BYTES, 1 << (k.bit_length() - 1)), False))
-    at = F.struct("row", "start")
-    distinct = occurrences.groupBy("key").agg(
-        (F.min(at) != F.max(at)).alias("copied"),
-        F.first("mini").alias("mini"),
-        F.first("packed").alias("packed"),
-        F.first("n").alias("n"),
-    )
-    zero = F.lit(0).cast("long")
+            out += [(*key, s, e - s) for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+        return pd.DataFrame(out, columns=["mini", "key", "offset", "n"])
+
+    windows = Windows(k, min(M_BYTES, 1 << (k.bit_length() - 1)), False)
+    occurrences = repeated_runs(docs, windows)
+    distinct = distinct_runs(occurrences)
+    zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     # A run that occurs twice repeats with all its windows.
-    copied = distinct.filter("copied").select("key", zero.alias("offset"), "n")
-    buckets = (
-        distinct.groupBy("mini")
-        .agg(F.count(F.lit(1)).alias("strings"), F.sum(F.length("packed")).alias("bytes"))
-        .filter("strings > 1")
-    )
+    copied = distinct.filter("copied").select("mini", "key", zero.alias("offset"), "n")
+    buckets = mixed_buckets(distinct, k)
     met = distinct.join(buckets, "mini")
+    small, large = F.col("units") <= bucket_bytes, F.col("units") > bucket_bytes
     scanned = (
-        met.filter(F.col("bytes") <= bucket_bytes)
-        .select("mini", "key", "packed")
+        packed_runs(docs, met.filter(small), windows)
         .repartition("mini")
         .sortWithinPartitions("mini", "key")
-        .mapInPandas(scan, "key binary, offset long, n long")
+        .mapInPandas(scan, "mini long, key long, offset long, n long")
     )
     pieces = (
-        met.filter(F.col("bytes") > bucket_bytes)
-        .select("key", "packed", F.explode(F.sequence(zero, F.col("n") - 1)).alias("offset"))
-        .select("key", "offset", F.expr(f"substring(packed, int(offset) + 1, {k})").alias("window"))
+        packed_runs(docs, met.filter(large), windows)
+        .select(
+            "mini", "key", "packed", F.explode(F.sequence(zero, F.length("packed") - k)).alias("offset")
+        )
+        .select(
+            "mini", "key", "offset", F.expr(f"substring(packed, int(offset) + 1, {k})").alias("window")
+        )
     )
     # Windows of one string differ, or they would lie in different runs.
-    twice = (
-        pieces.groupBy("window").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
-    )
+    twice = pieces.groupBy("window").agg(F.count(F.lit(1)).alias("times")).filter("times > 1")
     single = pieces.join(twice, "window", "left_semi").select(
-        "key", "offset", F.lit(1).cast("long").alias("n")
+        "mini", "key", "offset", one.alias("n")
     )
     found = copied.unionAll(scanned).unionAll(single)
     return (
-        occurrences.select("key", "row", "start")
-        .join(found, "key")
+        occurrences.select("mini", "key", "row", "start")
+        .join(found, ["mini", "key"])
         .select("row", (F.col("start") + F.col("offset")).alias("start"), "n")
     )
 

@@ -15,7 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmargin.llm.common import table
-from gridmargin.llm.minimisers import Windows, keyed, repeated_runs
+from gridmargin.llm.minimisers import (
+    Windows,
+    distinct_runs,
+    keyed,
+    mixed_buckets,
+    packed_runs,
+    repeated_runs,
+)
 
 M_WORDS = 8
 
@@ -26,25 +33,22 @@ def later_windows(docs: DataFrame, k: int) -> DataFrame:
     Earlier is a smaller doc_id (null counts as the smallest), or an earlier start in the same
     document. ``docs`` is that of :func:`keyed`.
     """
-    occurrences = repeated_runs(docs, Windows(k, min(M_WORDS, 1 << (k.bit_length() - 1)), True))
-    at = F.struct("doc_id", "row", "start")
-    distinct = occurrences.groupBy("key").agg(
-        F.min(at).alias("first"),
-        F.first("mini").alias("mini"),
-        F.first("packed").alias("packed"),
-        F.first("n").alias("n"),
-    )
+    windows = Windows(k, min(M_WORDS, 1 << (k.bit_length() - 1)), True)
+    occurrences = repeated_runs(docs, windows)
+    distinct = distinct_runs(occurrences)
     # A later copy of a whole super-k-mer repeats with all its windows.
     copies = (
-        occurrences.select("key", "row", "start", "n", at.alias("at"))
-        .join(distinct.select("key", "first"), "key")
-        .filter("at <> first")
+        occurrences.join(
+            distinct.filter("copied").select("mini", "key", "first"), ["mini", "key"]
+        )
+        .filter(F.struct("doc_id", "row", "start") != F.col("first"))
         .select("row", "start", "n")
     )
-    shared = distinct.groupBy("mini").agg(F.count(F.lit(1)).alias("strings")).filter("strings > 1")
+    met = distinct.join(mixed_buckets(distinct, k), "mini", "left_semi")
     words = F.split(F.col("packed").cast("string"), " ")
     laid_out = (
-        distinct.join(shared, "mini", "left_semi")
+        packed_runs(docs, met, windows)
+        .join(met, ["mini", "key"])
         .select("first", F.col("n").cast("int").alias("n"), words.alias("words"))
         .select(
             "first",
