@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridmargin.llm.graph import op6_pruned_graph
 from gridmargin.llm.lm_scoring import op10_gated_recurrent
+from gridmargin.llm.mixing import op4_raked_mixture
 from gridmargin.llm.packing import op7_pack_power_of_two
 from gridmargin.llm.quality import op1_bradley_terry
 from gridmargin.llm.rules import OP9_SQL, op9_risk_controlled_rules
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bradley_terry": op1_bradley_terry,
     "op2_site_style_tree": op2_site_style_tree,
     "op3_simhash_ball": op3_simhash_ball,
+    "op4_raked_mixture": op4_raked_mixture,
     "op5_super_kmers": op5_super_kmers,
     "op6_pruned_graph": op6_pruned_graph,
     "op7_pack_power_of_two": op7_pack_power_of_two,
