@@ -7,12 +7,13 @@ are then kept with probabilities in proportion to the weights of their cells.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -28,7 +29,7 @@ TOPIC_SAMPLE = 3_000
 TEMPER = 0.7
 # Expected share of the tokens that is kept.
 KEPT_SHARE = 0.7
-ROUNDS = 10
+ROUNDS = 20
 
 
 def word_profile(words: list[bytes]) -> np.ndarray:
@@ -38,41 +39,54 @@ def word_profile(words: list[bytes]) -> np.ndarray:
     return (counts / max(np.linalg.norm(counts), 1e-9)).astype(np.float32)
 
 
-def topic_centres(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(mean, centres) of a bounded sample's word profiles."""
+def topic_centres(docs: DataFrame) -> tuple[dict[str, np.ndarray], np.ndarray]:
+    """(means, centres) of a bounded sample's word profiles.
+
+    Profiles are taken relative to the mean of their language, so that topics are not
+    languages over again; '' has the mean of all, for languages that the sample lacks.
+    """
     sample = (
         docs.filter(F.length("text") > 0)
-        .select("doc_id", "text")
+        .select("doc_id", "text", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"))
         .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
         .limit(TOPIC_SAMPLE)
-        .select("text")
+        .select("text", "lang")
     )
 
-    def profiles(batches):
+    def profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [word_profile(words_of(t)).tolist() for t in batch["text"]]
-            yield pd.DataFrame({"profile": found})
+            yield pd.DataFrame({"lang": batch["lang"], "profile": found})
 
-    rows = sample.mapInPandas(profiles, "profile array<float>").toPandas()["profile"].tolist()
-    vectors = np.array(sorted(map(tuple, rows)), np.float32).reshape(-1, WORD_SLOTS)
-    mean = vectors.mean(axis=0) if len(vectors) else np.zeros(WORD_SLOTS, np.float32)
-    return mean, cluster(vectors - mean, np.ones(len(vectors)), TOPICS)
+    rows = sorted(
+        (r["lang"], tuple(r["profile"]))
+        for r in sample.mapInPandas(profiles, "lang string, profile array<float>").collect()
+    )
+    vectors = np.array([p for _, p in rows], np.float32).reshape(-1, WORD_SLOTS)
+    langs = np.array([lang for lang, _ in rows], object)
+    whole = vectors.mean(axis=0) if len(vectors) else np.zeros(WORD_SLOTS, np.float32)
+    means = {"": whole} | {lang: vectors[langs == lang].mean(axis=0) for lang in set(langs)}
+    if len(vectors):
+        vectors = vectors - np.array([means[lang] for lang in langs])
+        vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+    return means, cluster(vectors, np.ones(len(vectors)), TOPICS)
 
 
-def with_facts(docs: DataFrame, centres: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def with_facts(docs: DataFrame, centres: tuple[dict[str, np.ndarray], np.ndarray]) -> DataFrame:
     """``docs`` with the column ``facts``: source and lang ('' for null), topic and tokens."""
-    mean, groups = centres
+    means, groups = centres
 
     @pandas_udf("topic int, tokens long")
-    def measured(texts: pd.Series) -> pd.DataFrame:
+    def measured(texts: pd.Series, langs: pd.Series) -> pd.DataFrame:
         topics, tokens = [], []
-        for text in texts:
+        for text, lang in zip(texts, langs, strict=True):
             words = words_of(text)
+            mean = means.get(lang or "", means[""])
             topics.append(int((groups @ (word_profile(words) - mean)).argmax()))
             tokens.append(len(words))
         return pd.DataFrame({"topic": topics, "tokens": tokens})
 
-    seen = docs.withColumn("_measured", measured(F.col("text")))
+    seen = docs.withColumn("_measured", measured(F.col("text"), F.col("lang").cast("string")))
     return seen.withColumn(
         "facts",
         F.struct(
@@ -101,31 +115,23 @@ def tempered_targets(cells: DataFrame, temper: float = TEMPER) -> dict[str, Data
 def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """``cells`` with ``weight``: weighted tokens have the target shares of all dimensions.
 
-    A weight is a product of one factor per source, language and topic. Only the factors, one
-    row per value, are kept from step to step; each step sums the cells with partial sums.
+    The cells are aggregated beforehand: what a window holds are distinct combinations of
+    values, not documents. Every few rounds the plan is cut by a checkpoint.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
-    factors = {
-        name: targets[name].select(F.col("value").alias(name), F.lit(1.0).alias(f"f_{name}"))
-        for name in DIMENSIONS
-    }
-
-    def joined(names: list[str]) -> DataFrame:
-        return reduce(lambda df, n: df.join(factors[n], n), names, cells)
-
-    for _ in range(rounds):
+    weighted = cells.withColumn("weight", F.lit(1.0))
+    for name in DIMENSIONS:
+        wanted = targets[name].select(F.col("value").alias(name), F.col("share").alias(f"_{name}"))
+        weighted = weighted.join(wanted, name)
+    for round_ in range(rounds):
         for name in DIMENSIONS:
-            others = [n for n in DIMENSIONS if n != name]
-            product = reduce(lambda a, b: a * b, [F.col(f"f_{n}") for n in others], F.col("tokens"))
-            sums = joined(others).groupBy(name).agg(F.sum(product).alias("sum"))
-            wanted = targets[name].select(F.col("value").alias(name), "share")
-            factors[name] = checkpointed(
-                sums.join(wanted, name).select(
-                    name, (F.col("share") * total / F.col("sum")).alias(f"f_{name}")
-                )
+            current = F.sum(F.col("weight") * F.col("tokens")).over(Window.partitionBy(name))
+            weighted = weighted.withColumn(
+                "weight", F.col("weight") * F.col(f"_{name}") * total / current
             )
-    product = reduce(lambda a, b: a * b, [F.col(f"f_{n}") for n in DIMENSIONS], F.lit(1.0))
-    return joined(list(DIMENSIONS)).select(*cells.columns, product.alias("weight"))
+        if round_ % 5 == 4:
+            weighted = checkpointed(weighted)
+    return weighted.select(*cells.columns, "weight")
 
 
 def kept_scale(cells: DataFrame, share: float) -> float:
