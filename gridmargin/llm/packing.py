@@ -8,6 +8,7 @@ length form a bucket to draw batches from, no sequence crosses documents, none n
 from __future__ import annotations
 
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}
 # Characters for which the pattern is known to act alike here and in the tokenizer.
 _PLAIN = re.compile(r"[!-~À-ɏ]+")
 END_ID = 1
-_CACHED = 400_000
+_CACHED = 800_000
 _encoders: dict[str, "WordEncoder"] = {}
 
 
@@ -40,6 +41,10 @@ def _byte_characters() -> str:
     return "".join(chr(b if b in shown else next(hidden)) for b in range(256))
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
     """Token ids of texts, by way of a bounded cache of words.
 
@@ -55,30 +60,30 @@ class WordEncoder:
         self.model = self.tokenizer.model
         self.shown = dict(enumerate(_byte_characters()))
         self.words: dict[bytes, bytes] = {}
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
 
-    def _part(self, part: str) -> list[int]:
+    def _part(self, part: str) -> bytes:
         ids = self.parts.get(part)
         if ids is None:
             shown = part.encode().decode("latin-1").translate(self.shown)
-            ids = self.parts[part] = [t.id for t in self.model.tokenize(shown)]
+            ids = self.parts[part] = _packed([t.id for t in self.model.tokenize(shown)])
         return ids
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
         if _PLAIN.fullmatch(text) and "<|" not in text:
-            lower = text.lower() if text.isascii() else self.tokenizer.normalizer.normalize_str(text)
-            ids = [i for part in PIECES.findall(lower) for i in self._part(part)]
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+            lower = text.lower()  # what the tokenizer's normaliser does to these characters
+            if lower.isalpha():
+                return self._part(lower)
+            return b"".join(map(self._part, PIECES.findall(lower)))
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
         words = (text or "").encode().split()
         if len(self.words) > _CACHED:
             self.words.clear()
-        if len(self.parts) > _CACHED:
+        if len(self.parts) > _CACHED // 2:
             self.parts.clear()
         for word in set(words).difference(self.words):
             self.words[word] = self._word(word)
