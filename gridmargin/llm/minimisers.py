@@ -171,7 +171,9 @@ def row_key() -> Column:
 
 def keyed(docs: DataFrame) -> DataFrame:
     """(doc_id, text, row) of all documents; null texts are empty."""
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+    ).select(
         "doc_id", "text", row_key().alias("row")
     )
 
@@ -202,7 +204,7 @@ def repeated_runs(docs: DataFrame, windows: Windows) -> DataFrame:
 
     if windows.k - windows.m + 1 > 255:
         raise ValueError("a run must have fewer than 256 windows")
-    runs = docs.select(F.col("doc_id").cast("long"), "text", "row").mapInPandas(
+    runs = docs.mapInPandas(
         places, "mini long, key long, doc_id long, row long, place long"
     )
     repeated = runs.groupBy("mini").agg(F.count(F.lit(1)).alias("runs")).filter("runs > 1")
@@ -246,36 +248,41 @@ def mixed_buckets(distinct: DataFrame, k: int) -> DataFrame:
 
 
 def packed_runs(docs: DataFrame, runs: DataFrame, windows: Windows) -> DataFrame:
-    """``runs`` (mini, key, first, n) with ``packed``, their units as one string.
+    """(mini, key, doc_id, row, start, packed) of ``runs`` (mini, key, first, n).
 
-    The first occurrence of each run is cut out of its document.
+    The first occurrence of each run is cut out of its document as one packed string.
     """
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out, size = [], 0
-            for text, found in zip(batch["text"], batch["found"], strict=True):
+            columns = (batch[c] for c in ("doc_id", "row", "text", "found"))
+            for doc_id, row, text, found in zip(*columns, strict=True):
                 data = text.encode()
                 words = data.split() if windows.words else None
                 for run in found:
                     mini, key, start, count = (int(run[c]) for c in ("mini", "key", "start", "n"))
                     stop = start + count + windows.k - 1
                     packed = b" ".join(words[start:stop]) if windows.words else data[start:stop]
-                    out.append((mini, key, packed))
+                    out.append((mini, key, doc_id, row, start, packed))
                     size += len(packed)
                 if size > 1 << 23:
-                    yield pd.DataFrame(out, columns=["mini", "key", "packed"])
+                    yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
                     out, size = [], 0
             if out:
-                yield pd.DataFrame(out, columns=["mini", "key", "packed"])
+                yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
+    names = ["mini", "key", "doc_id", "row", "start", "packed"]
     wanted = (
         runs.select("first.row", F.struct("mini", "key", "first.start", "n").alias("run"))
         .groupBy("row")
         .agg(F.collect_list("run").alias("found"))  # at most one per unit of a document
     )
+    # With the same columns as the last join of the callers, so that Spark shuffles them once.
     return (
         docs.join(wanted, "row")
-        .select("text", "found")
-        .mapInPandas(cut, "mini long, key long, packed binary")
+        .select("doc_id", "text", "row", "found")
+        .mapInPandas(
+            cut, "mini long, key long, doc_id long, row long, start long, packed binary"
+        )
     )

@@ -29,7 +29,7 @@ M_BYTES = 32
 # Bytes of distinct strings in one bucket that one suffix array takes. A larger bucket is
 # dealt with window by window instead, which no single task has to hold.
 BUCKET_BYTES = 4 << 20
-_BATCH = 1 << 20
+_BATCH = 1 << 19
 
 
 def suffix_array(strings: list[bytes], k: int) -> tuple[np.ndarray, ...]:
@@ -43,12 +43,14 @@ def suffix_array(strings: list[bytes], k: int) -> tuple[np.ndarray, ...]:
     ends = np.cumsum(lengths) - 1
     codes = np.frombuffer(b"\0".join(strings) + b"\0", np.uint8).astype(np.int64) + len(strings)
     codes[ends] = np.arange(len(strings))  # every string ends with a sign of its own
-    n, size, ranks = len(codes), 1, [codes]
+    n, size, ranks = len(codes), 1, [codes.astype(np.int32)]
     while size < lengths.max():
         ahead = np.zeros(n, np.int64)
-        ahead[: n - size] = ranks[-1][size:] + 1
-        rank = np.unique(ranks[-1] * (int(ranks[-1].max()) + 2) + ahead, return_inverse=True)[1]
-        ranks.append(rank)
+        ahead[: n - size] = ranks[-1][size:]
+        ahead[: n - size] += 1
+        last = ranks[-1].astype(np.int64)
+        rank = np.unique(last * (int(last.max()) + 2) + ahead, return_inverse=True)[1]
+        ranks.append(rank.astype(np.int32))
         size *= 2
         if rank.max() == n - 1:
             break
@@ -137,6 +139,8 @@ def repeated_bytes(docs: DataFrame, k: int, bucket_bytes: int = BUCKET_BYTES) ->
         size, last = 0, None
         for batch in batches:
             for mini, key, packed in zip(batch["mini"], batch["key"], batch["packed"], strict=True):
+                if keys and keys[-1] == (mini, key):
+                    continue  # a row that repeats
                 # Buckets share no window, so several can share a suffix array.
                 if mini != last and size > _BATCH:
                     yield marks(keys, strings)
@@ -166,12 +170,14 @@ def repeated_bytes(docs: DataFrame, k: int, bucket_bytes: int = BUCKET_BYTES) ->
     small, large = F.col("units") <= bucket_bytes, F.col("units") > bucket_bytes
     scanned = (
         packed_runs(docs, met.filter(small), windows)
+        .select("mini", "key", "packed")
         .repartition("mini")
         .sortWithinPartitions("mini", "key")
         .mapInPandas(scan, "mini long, key long, offset long, n long")
     )
     pieces = (
         packed_runs(docs, met.filter(large), windows)
+        .dropDuplicates(["mini", "key"])
         .select(
             "mini", "key", "packed", F.explode(F.sequence(zero, F.length("packed") - k)).alias("offset")
         )
@@ -223,7 +229,7 @@ def remove_repeated_bytes(docs: DataFrame, k: int = 200) -> DataFrame:
     docs = keyed(docs)
     return (
         with_windows(docs, repeated_bytes(docs, k))
-        .select(F.col("doc_id").cast("long"), "text", "starts", "counts")
+        .select("doc_id", "text", "starts", "counts")
         .mapInPandas(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
     )
 

@@ -24,18 +24,60 @@ from gridmargin.llm.minimisers import (
     repeated_runs,
 )
 
-M_WORDS = 8
+M_WORDS = 4
+# Words of different super-k-mers in one bucket that one task sorts. The windows of a larger
+# bucket are laid out and counted by Spark instead.
+BUCKET_WORDS = 1 << 19
 
 
-def later_windows(docs: DataFrame, k: int) -> DataFrame:
+def _repeats_in_bucket(
+    bucket: dict[tuple[int, int], tuple[int, bytes]], k: int
+) -> Iterator[tuple[int, int]]:
+    """(row, start) of the windows of a bucket that are equal to an earlier one.
+
+    ``bucket`` has doc_id and packed string by row and start. All windows are laid out and sorted by their
+    words, then by document and place, so that the first of equals leads them.
+    """
+    laid_out = []
+    for (row, start), (doc_id, packed) in bucket.items():
+        words = packed.split(b" ")
+        laid_out += [
+            (b" ".join(words[j : j + k]), doc_id, row, start + j) for j in range(len(words) - k + 1)
+        ]
+    laid_out.sort()
+    for (before, *_), (window, _, row, start) in zip(laid_out, laid_out[1:], strict=False):
+        if window == before:
+            yield row, start
+
+
+def later_windows(docs: DataFrame, k: int, bucket_words: int = BUCKET_WORDS) -> DataFrame:
     """(row, start, n): n windows from word ``start`` whose words also start earlier.
 
     Earlier is a smaller doc_id (null counts as the smallest), or an earlier start in the same
     document. ``docs`` is that of :func:`keyed`.
     """
+
+    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bucket: dict[tuple[int, int], tuple[int, bytes]] = {}
+        last = None
+        out: list[tuple[int, int]] = []
+        for batch in batches:
+            ids = [-(1 << 64) if i is pd.NA else i for i in batch["doc_id"].astype("Int64")]
+            columns = (batch[c].tolist() for c in ("mini", "row", "start", "packed"))
+            for mini, row, start, packed, doc_id in zip(*columns, ids, strict=True):
+                if mini != last:
+                    out += _repeats_in_bucket(bucket, k)
+                    bucket, last = {}, mini
+                bucket[row, start] = doc_id, packed  # once, however often a row repeats
+            yield pd.DataFrame(out, columns=["row", "start"], dtype="int64")
+            out = []
+        out += _repeats_in_bucket(bucket, k)
+        yield pd.DataFrame(out, columns=["row", "start"], dtype="int64")
+
     windows = Windows(k, min(M_WORDS, 1 << (k.bit_length() - 1)), True)
     occurrences = repeated_runs(docs, windows)
     distinct = distinct_runs(occurrences)
+    one = F.lit(1).cast("long")
     # A later copy of a whole super-k-mer repeats with all its windows.
     copies = (
         occurrences.join(
@@ -44,31 +86,30 @@ def later_windows(docs: DataFrame, k: int) -> DataFrame:
         .filter(F.struct("doc_id", "row", "start") != F.col("first"))
         .select("row", "start", "n")
     )
-    met = distinct.join(mixed_buckets(distinct, k), "mini", "left_semi")
+    met = distinct.join(mixed_buckets(distinct, k), "mini")
+    small, large = F.col("units") <= bucket_words, F.col("units") > bucket_words
+    scanned = (
+        packed_runs(docs, met.filter(small), windows)
+        .repartition("mini")
+        .sortWithinPartitions("mini")
+        .mapInPandas(scan, "row long, start long")
+        .select("row", "start", one.alias("n"))
+    )
     words = F.split(F.col("packed").cast("string"), " ")
     laid_out = (
-        packed_runs(docs, met, windows)
-        .join(met, ["mini", "key"])
-        .select("first", F.col("n").cast("int").alias("n"), words.alias("words"))
+        packed_runs(docs, met.filter(large), windows)
+        .dropDuplicates(["mini", "key"])
+        .select("doc_id", "row", "start", words.alias("words"))
         .select(
-            "first",
-            F.explode(
-                F.transform(
-                    F.sequence(F.lit(0), F.col("n") - 1),
-                    lambda j: F.struct(
-                        j.alias("j"),
-                        F.array_join(F.slice("words", j + 1, k), " ").alias("window"),
-                    ),
-                )
-            ).alias("w"),
+            "doc_id",
+            "row",
+            "start",
+            "words",
+            F.explode(F.sequence(F.lit(0), F.size("words") - k)).alias("j"),
         )
         .select(
-            "w.window",
-            F.struct(
-                F.col("first.doc_id").alias("doc_id"),
-                F.col("first.row").alias("row"),
-                (F.col("first.start") + F.col("w.j")).alias("start"),
-            ).alias("at"),
+            F.array_join(F.slice("words", F.col("j") + 1, k), " ").alias("window"),
+            F.struct("doc_id", "row", (F.col("start") + F.col("j")).alias("start")).alias("at"),
         )
     )
     counted = (
@@ -79,9 +120,9 @@ def later_windows(docs: DataFrame, k: int) -> DataFrame:
     singles = (
         laid_out.join(counted, "window")
         .filter("at <> first")
-        .select("at.row", "at.start", F.lit(1).cast("long").alias("n"))
+        .select("at.row", "at.start", one.alias("n"))
     )
-    return copies.unionAll(singles)
+    return copies.unionAll(scanned).unionAll(singles)
 
 
 def spans_of(starts: np.ndarray, counts: np.ndarray, k: int, total: int) -> np.ndarray:
@@ -130,7 +171,7 @@ def remove_repeated_words(docs: DataFrame, k: int = 20) -> DataFrame:
     docs = keyed(docs)
     return (
         with_windows(docs, later_windows(docs, k))
-        .select(F.col("doc_id").cast("long"), "text", "starts", "counts")
+        .select("doc_id", "text", "starts", "counts")
         .mapInPandas(cut, "doc_id long, n_words long, n_removed long, kept binary")
     )
 
