@@ -224,7 +224,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         names = ["query_id", "vec_id", "score"]
         if not len(index) or not len(wanted):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype(
-                {"query_id": "int64", "vec_id": "int64"}
+                {"query_id": "int64", "vec_id": "int64", "score": "float64"}
             )
         part = index.iloc[0]
         exact = np.frombuffer(part["vectors"], np.float64).reshape(-1, part["dim"])

@@ -146,10 +146,10 @@ def train_ranking(docs: DataFrame, labels: DataFrame) -> Ranking:
     return fit_ranking(x, rows["quality"].to_numpy(dtype=int))
 
 
-def score_quality(docs: DataFrame, ranking: Ranking) -> DataFrame:
-    """All rows and columns of ``docs``, with ``score`` (0 to 1) of their whole text.
+def score_quality(docs: DataFrame, ranking: Ranking, name: str = "score") -> DataFrame:
+    """All rows and columns of ``docs``, with the score (0 to 1) of their whole text as ``name``.
 
-    Null and empty texts are scored like texts without a word. A column named score is replaced.
+    Null and empty texts are scored like texts without a word. A column of that name is replaced.
     """
 
     @pandas_udf("double")
@@ -158,7 +158,7 @@ def score_quality(docs: DataFrame, ranking: Ranking) -> DataFrame:
             x = np.array([features(t) for t in texts], float).reshape(-1, N_FEATURES)
             yield pd.Series(ranking.score(x))
 
-    return docs.withColumn("score", scored(F.col("text")))
+    return docs.withColumn(name, scored(F.col("text")))
 
 
 def op1_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 def text_counts(docs: DataFrame) -> DataFrame:
     """``docs`` without its text but with the counts that the rules need, as longs.
 
-    Null counts as empty. Repeated windows are found by sorting window hashes that carry
+    Null counts as empty. Columns that have the name of a count are replaced. Repeated windows are found by sorting window hashes that carry
     their place, so a text of n words costs n log n and stays in its row.
     """
     kept = [c for c in docs.columns if c not in ("text", "_text", *BASE, "n_lines", "n_upper")]
