@@ -2,8 +2,9 @@
 
 from gridmargin.functions.columns import (
     PERIOD_FORMAT,
-    exact,
+    exact_difference,
     exact_sum,
+    exact_times,
     flow_direction,
     grid_status,
     interchange_defaults,
@@ -16,8 +17,9 @@ from gridmargin.functions.columns import (
 
 __all__ = [
     "PERIOD_FORMAT",
-    "exact",
+    "exact_difference",
     "exact_sum",
+    "exact_times",
     "flow_direction",
     "grid_status",
     "interchange_defaults",

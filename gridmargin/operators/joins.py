@@ -74,5 +74,5 @@ def join_reliability_interchange(
     """Reliability base rows with their interchange and the generation it leaves."""
     net = net_available(F.col("total_generation_mwh"), F.col("interchange_mwh"))
     return join_balance(base, balance, repeats).withColumn(
-        "net_available_generation_mwh", net.cast("double")
+        "net_available_generation_mwh", net
     )

@@ -12,9 +12,8 @@ from gridmargin.operators.joins import join_balance, join_generation_demand
 from gridmargin.operators.totals import (
     BASE_COLUMNS,
     POOLED,
+    holds_hours,
     hourly_totals,
-    hours_with_demand,
-    join_totals,
     reliability_base,
     reliability_base_from_staging,
     with_totals,
@@ -32,12 +31,10 @@ def demand_vs_generation(
 
     ``repeats`` says that generation or demand keys repeat, as the uniqueness checks report.
     """
-    return with_totals(
-        join_generation_demand(generation, demand, repeats),
-        total_keys,
-        hourly_totals(generation, demand, total_keys),
-        repeats,
-    )
+    joined = join_generation_demand(generation, demand, repeats)
+    if holds_hours(total_keys) and not repeats:
+        return with_totals(joined, total_keys)
+    return with_totals(joined, total_keys, hourly_totals(generation, demand, total_keys), repeats)
 
 
 def interchange_balance(interchange: DataFrame) -> DataFrame:
@@ -59,7 +56,7 @@ def _with_metrics(hours: DataFrame) -> DataFrame:
             *BASE_COLUMNS,
             "interchange_mwh",
             "flow_direction",
-            net.cast("double").alias("net_available_generation_mwh"),
+            net.alias("net_available_generation_mwh"),
         )
         .withColumn("reserve_margin_pct", margin)
         .withColumn("grid_status", grid_status(F.col("reserve_margin_pct")))
@@ -86,18 +83,11 @@ def grid_reliability_from_staging(
 ) -> DataFrame:
     """The same rows straight from staging; the rows per fuel are never shuffled whole.
 
-    Demand and interchange are joined first because they share one partitioning by hour and
-    respondent; the totals come last, so that pooled totals (one row per hour) cost a
-    broadcast, or else a single exchange. With ``repeats`` the interchange comes last, as the
-    only join in its stage. Repeats of generation and demand rows collapse in any case.
+    Every table is read once. With ``repeats`` the interchange comes last, as the only join in
+    its stage. Repeats of generation and demand rows collapse in any case.
     """
-    balance = interchange_balance(interchange)
-    if repeats:
-        base = reliability_base_from_staging(generation, demand, total_keys)
-        return _with_metrics(join_balance(base, balance, repeats=True))
-    hours = join_balance(hours_with_demand(generation, demand), balance)
-    totals = hourly_totals(generation, demand, total_keys)
-    return _with_metrics(join_totals(hours, totals, total_keys))
+    base = reliability_base_from_staging(generation, demand, total_keys, repeats)
+    return _with_metrics(join_balance(base, interchange_balance(interchange), repeats))
 
 
 def write_mart(mart: DataFrame, path: str) -> None:

@@ -58,7 +58,8 @@ _registry: dict[str, Query] = {}
 def query(name: str) -> Callable[[Query], Query]:
     def register(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            if spark.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC"):
+                raise ValueError("the session must run in UTC")
             return function(spark, sf_dir.rstrip("/"))
 
         _registry[name] = run
