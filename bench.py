@@ -7,10 +7,13 @@ query runs BENCH_RUNS times (default 3) into Spark's noop sink, and its median c
 
 from __future__ import annotations
 
+import atexit
 import json
 import os
 import re
+import shutil
 import statistics
+import tempfile
 import time
 
 from gridmargin.schemas import DATASETS
@@ -23,12 +26,15 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
+    shared = tempfile.mkdtemp(prefix="bench-")
+    atexit.register(shutil.rmtree, shared, ignore_errors=True)
     spark = get_session(
         "bench",
         **{
             "spark.master": f"local[{cpus}]",
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "16g",
+            "spark.checkpoint.dir": shared,
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },

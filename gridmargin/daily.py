@@ -21,7 +21,7 @@ from gridmargin.plans.views import register_views
 from gridmargin.schemas import DATASETS, Dataset
 from gridmargin.session import get_session
 from gridmargin.sources.curated import curate_day
-from gridmargin.sources.landing import extract, land, read_raw
+from gridmargin.sources.landing import land, read_raw, select_facets
 from gridmargin.sources.warehouse import load_day
 
 log = logging.getLogger("gridmargin.daily")
@@ -90,7 +90,9 @@ def land_all(
     start, end = hour_window(run_date)
 
     def step(dataset: Dataset) -> None:
-        rows = extract(sources[dataset.name], {**dataset.facets, **(facets or {})}, start, end)
+        # The feed's own facets win: a caller can narrow a feed, not replace it by another.
+        own = {**(facets or {}), **dataset.facets}
+        rows = select_facets(sources[dataset.name], own, start, end)
         land(rows.select(*dataset.raw.names), landing, dataset.name, run_date)
 
     return _each_dataset(step, "land")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -33,8 +36,14 @@ def get_session(app_name: str = "gridmargin", **overrides: str) -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """A fresh directory path under the cluster's shared checkpoint folder.
 
-    Where no such folder is configured (tests on one machine) a temporary one is used.
+    Only a session on one machine may go without such a folder: it gets a temporary one, which
+    goes when Python ends. On several machines each executor would write to its own disk.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    root = shared or tempfile.mkdtemp(prefix="run-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if root is None:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines see")
+        root = tempfile.mkdtemp(prefix="run-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
     return f"{root.rstrip('/')}/gridmargin-{uuid.uuid4().hex}"

@@ -11,25 +11,42 @@ from pyspark.sql.types import DateType, StructField, StructType
 from gridmargin.sources.storage import day_path, replace_directory
 
 
-def extract(
+def select_facets(
     bulk: DataFrame,
     facets: dict[str, list[str]],
     start: str,
     end: str,
 ) -> DataFrame:
-    """Rows of a bulk hourly table that pass the facets and lie in the window.
+    """Rows of a bulk hourly table that pass the facets and lie in the window, in any order.
 
     Values within a facet are alternatives, facets restrict each other, and an empty facet
     does not restrict. Both ends of the window belong to it. The filters are plain
-    comparisons, so a Parquet-backed table receives them in its scan. Sorting by the other
-    text columns after ``period`` lets the range partitioning split an hour that holds a
-    large share of the rows.
+    comparisons, so a Parquet-backed table receives them in its scan. If the table is stored by
+    day, in a column ``dt``, the window also prunes its directories.
     """
     selected = bulk.filter(F.col("period").between(start, end))
+    if "dt" in bulk.columns:
+        days = [F.lit(hour[:10]).cast("date") for hour in (start, end)]
+        selected = selected.filter(F.col("dt").between(*days))
     for name, values in facets.items():
         if values:
             selected = selected.filter(F.col(name).isin(values))
-    ties = [f"`{c}`" for c in bulk.columns if c not in ("period", "value", "value-units")]
+    return selected.drop("dt")
+
+
+def extract(
+    bulk: DataFrame,
+    facets: dict[str, list[str]],
+    start: str,
+    end: str,
+) -> DataFrame:
+    """What :func:`select_facets` gives, sorted by hour.
+
+    Sorting by the other text columns after ``period`` lets the range partitioning split an
+    hour that holds a large share of the rows.
+    """
+    selected = select_facets(bulk, facets, start, end)
+    ties = [f"`{c}`" for c in selected.columns if c not in ("period", "value", "value-units")]
     return selected.orderBy("period", *ties)
 
 

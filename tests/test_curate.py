@@ -21,9 +21,9 @@ from gridmargin.sources.curated import (
 
 RUN_DATE = "2026-08-08"
 CASES = [
-    pytest.param(transform_demand, DEMAND, ("BA0", "2026-08-01T14", "123.4", "megawatthours"), id="demand"),
-    pytest.param(transform_interchange, INTERCHANGE, ("BA0", "2026-08-01T14", "50.0", "megawatthours"), id="interchange"),
-    pytest.param(transform_generation, GENERATION, ("BA0", "NG", "2026-08-01T14", "500.0", "megawatthours"), id="generation"),
+    pytest.param(transform_demand, DEMAND, ("BA7", "2026-07-30T05", "-17.25", "MWh"), id="demand"),
+    pytest.param(transform_interchange, INTERCHANGE, ("BA3", "2026-07-30T05", "0", "MWh"), id="interchange"),
+    pytest.param(transform_generation, GENERATION, ("BA3", "WND", "2026-07-30T05", "8.125", "MWh"), id="generation"),
 ]
 
 
@@ -47,9 +47,10 @@ class TestEveryDataset:
 
     def test_values(self, spark, function, dataset, row):
         got = function(frame(spark, dataset, row), RUN_DATE).first()
-        assert (got.period.year, got.period.month, got.period.day) == (2026, 8, 1)
+        hour = got.period
+        assert (hour.year, hour.month, hour.day, hour.hour) == (2026, 7, 30, 5)
         assert got.value == float(row[-2]) and isinstance(got.value, float)
-        assert got.value_units == "megawatthours"
+        assert got.value_units == "MWh"
         assert got.ingestion_date == date(2026, 8, 8)
 
     def test_accepts_a_date(self, spark, function, dataset, row):
@@ -99,8 +100,8 @@ class TestEveryDataset:
 
 
 def test_fuel_type(spark):
-    row = ("BA0", "NG", "2026-08-01T14", "500.0", "megawatthours")
-    assert transform_generation(frame(spark, GENERATION, row), RUN_DATE).first().fuel_type == "NG"
+    row = ("BA3", "WND", "2026-07-30T05", "8.125", "MWh")
+    assert transform_generation(frame(spark, GENERATION, row), RUN_DATE).first().fuel_type == "WND"
     with pytest.raises(DataValidationError, match="fuel_type"):
         transform_generation(
             frame(spark, GENERATION, changed(GENERATION, row, "fueltype", None)), RUN_DATE

@@ -1,9 +1,14 @@
 import json
+from datetime import date
+from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
+from gridmargin import daily
 from gridmargin.operators.quality import DataValidationError
-from gridmargin.schemas import DEMAND, RAW_DEMAND_SCHEMA
+from gridmargin.schemas import DATASETS, DEMAND, RAW_DEMAND_SCHEMA
+from gridmargin.session import scratch_dir
 from gridmargin.sources.curated import transform_demand
 from gridmargin.sources.landing import extract, land, landing_path, read_raw
 
@@ -108,3 +113,37 @@ def test_extract_filters_reach_the_scan(spark, tmp_path):
         "GreaterThanOrEqual(period,2024-01-02T00)", "LessThanOrEqual(period,2024-01-02T23)",
     ):
         assert pushed in plan
+
+
+def test_window_prunes_the_days_of_a_bulk_table(spark, tmp_path):
+    bulk = spark.createDataFrame(BULK, "period string, respondent string, type string")
+    days = bulk.withColumn("dt", F.substring("period", 1, 10).cast("date"))
+    days.write.partitionBy("dt").parquet(str(tmp_path / "bulk"))
+    stored = spark.read.parquet(str(tmp_path / "bulk"))
+    selected = extract(stored, {}, "2024-01-02T00", "2024-01-02T23")
+    assert "PartitionFilters: [isnotnull(dt" in selected._jdf.queryExecution().executedPlan().toString()
+    assert [tuple(r) for r in selected.collect()] == extracted(spark, {})
+
+
+def test_landing_keeps_the_feed_and_does_not_sort(spark, tmp_path, monkeypatch):
+    schema = "period string, respondent string, type string, value string, `value-units` string"
+    bulk = spark.createDataFrame([(*r, "1", "MWh") for r in BULK], schema)
+    landed = []
+    monkeypatch.setattr(daily, "land", lambda rows, *_: landed.append(rows))
+    daily.land_all(dict.fromkeys(DATASETS, bulk), str(tmp_path), date(2024, 1, 2), {"type": ["X"]})
+    kinds = [r for rows in landed for r in rows.collect() if r.respondent == "A"]
+    assert len(kinds) == 1 and kinds[0].period == BULK[1][0]  # the demand feed's own type
+    assert all("rangepartitioning" not in r._jdf.queryExecution().executedPlan().toString() for r in landed)
+
+
+def test_no_scratch_folder_on_several_machines(tmp_path):
+    def session(master, folder=None):
+        return SimpleNamespace(
+            conf=SimpleNamespace(get=lambda *_: folder), sparkContext=SimpleNamespace(master=master)
+        )
+
+    for master in ("yarn", "spark://a:7077", "local-cluster[2,1,1024]", "k8s://x"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_dir(session(master))
+        assert scratch_dir(session(master, str(tmp_path))).startswith(str(tmp_path))
+    assert scratch_dir(session("local[4]")) != scratch_dir(session("local[4]"))

@@ -39,7 +39,8 @@ def bulk(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     frame = {"region": fixtures.bulk_region_table, "fuel": fixtures.bulk_fuel_table}[table]
 
     def write(path: str) -> None:
-        frame(spark, sf_dir).sortWithinPartitions("period").write.parquet(path)
+        rows = frame(spark, sf_dir).withColumn("dt", F.substring("period", 1, 10).cast("date"))
+        write_days(rows, path, "dt", "period")
 
     return spark.read.parquet(_once(spark, sf_dir, f"bulk-{table}", write))
 
