@@ -17,6 +17,7 @@ HEAD = HEAD_CLASSES * CLASS_SIZE
 INPUTS, CLASSES = HEAD + TAIL_CLASSES, HEAD_CLASSES + TAIL_CLASSES
 EMBEDDED, HIDDEN = 24, 32
 WINDOW = 32
+MOST_PASSES = 10
 _NEVER = -1e9
 _SHAPES = {
     "embed": (INPUTS, EMBEDDED),
@@ -64,7 +65,17 @@ def initial(head_counts: np.ndarray, tail_counts: np.ndarray, seed: int = 0) ->
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """Logistic function, in place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _log_sums(x: np.ndarray) -> np.ndarray:
+    """Log of the summed exponentials of each row; bounded weights can't overflow it."""
+    np.minimum(x, 80, out=x)
+    return np.log(np.exp(x).sum(axis=1))
 
 
 def _log_softmax(x: np.ndarray) -> np.ndarray:
@@ -115,9 +126,13 @@ def log_likelihoods(p: Parameters, docs: list[np.ndarray], lanes: int = 512) ->
             for t in range(steps):
                 gx, gh = gates[last], h @ p.wh
                 rz = _sigmoid(gx[:, : 2 * HIDDEN] + gh[:, : 2 * HIDDEN])
-                z = rz[:, HIDDEN:]
-                new = np.tanh(gx[:, 2 * HIDDEN :] + rz[:, :HIDDEN] * gh[:, 2 * HIDDEN :])
-                h = new + z * (h - new)
+                new = gh[:, 2 * HIDDEN :]
+                new *= rz[:, :HIDDEN]
+                new += gx[:, 2 * HIDDEN :]
+                np.tanh(new, out=new)
+                h = h - new
+                h *= rz[:, HIDDEN:]
+                h += new
                 states[t] = h
                 last = targets[t]
             chance = np.zeros((steps, active))
@@ -127,12 +142,11 @@ def log_likelihoods(p: Parameters, docs: list[np.ndarray], lanes: int = 512) ->
 
 
 def _token_logs(p: Parameters, states: np.ndarray, targets: np.ndarray) -> np.ndarray:
-    logs = np.take_along_axis(
-        _log_softmax(states @ p.wc + p.bc), class_of(targets)[:, None], 1
-    )[:, 0].astype(np.float64)
+    logits = states @ p.wc + p.bc
+    logs = logits[np.arange(len(targets)), class_of(targets)] - _log_sums(logits)
     for c, rows in _by_class(targets):
-        inside = _log_softmax(states[rows] @ p.ww[c] + p.bw[c])
-        logs[rows] += inside[np.arange(len(rows)), targets[rows] % CLASS_SIZE]
+        logits = states[rows] @ p.ww[c] + p.bw[c]
+        logs[rows] += logits[np.arange(len(rows)), targets[rows] % CLASS_SIZE] - _log_sums(logits)
     return logs
 
 
@@ -142,7 +156,8 @@ def train(
     """Truncated backpropagation through time over ``docs``; new weights and tokens read.
 
     Documents of like length share a batch. The state runs on from window to window, gradients
-    stop at a window's start. Small inputs are read again until ``least_steps`` updates.
+    stop at a window's start. Small inputs are read again until ``least_steps`` updates, MOST_PASSES
+    times at most.
     """
     p = Parameters(p.flat.copy())
     rng = np.random.default_rng(seed)
@@ -150,7 +165,9 @@ def train(
     fixed = p.flat <= _NEVER / 2  # slots without a word stay impossible
     step = tokens = 0
     docs = sorted((d for d in docs if len(d)), key=len)
-    while docs and (step < least_steps or not tokens):
+    for _ in range(MOST_PASSES):
+        if not docs or step >= least_steps:
+            break
         batches = [docs[i : i + lanes] for i in range(0, len(docs), lanes)]
         for b in rng.permutation(len(batches)):
             batch = sorted(batches[b], key=len, reverse=True)

@@ -16,12 +16,13 @@ from gridmargin.llm.common import stored, table
 from gridmargin.llm.simhash import words_of
 
 END = ""  # no word is empty
-# One in so many training documents teaches the network; all of them are counted.
-TRAINED_SHARE = 8
-ROUNDS, LEAST_STEPS = 2, 150
+# One in so many training documents teaches the network, but so many documents at least; all of
+# them are counted.
+TRAINED_SHARE, LEAST_DOCUMENTS = 16, 2_000
+ROUNDS, LEAST_STEPS = 2, 200
 # Tail words that the tail classes are clustered from, the most frequent ones.
 CLUSTER_WORDS = 20_000
-BLOCK_BYTES = 12_000_000
+BLOCK_BYTES = 20_000_000
 _PAIRS = 64
 
 
@@ -104,15 +105,17 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def train_network(
-    docs: DataFrame, vocabulary: Vocabulary, start: gru.Parameters
+    docs: DataFrame, n: int, vocabulary: Vocabulary, start: gru.Parameters
 ) -> gru.Parameters:
     """Rounds of local training on every part of the sampled documents, then averaging.
 
-    The sample is a fixed share, so it grows with the corpus. Each task trains on its own
+    The sample of the ``n`` documents is a fixed share, so it grows with the corpus. Each task trains on its own
     documents; Spark averages the weights position by position, by tokens read, and only the
     averages, whose number is fixed, reach the driver.
     """
-    sample = docs.filter(F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(TRAINED_SHARE)) == 0)
+    share = max(1 / TRAINED_SHARE, LEAST_DOCUMENTS / max(n, 1))
+    place = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 20))
+    sample = docs.filter(place < F.lit(int(share * (1 << 20))))
     parameters = start
     for round_ in range(ROUNDS):
         flat = parameters.flat
@@ -200,7 +203,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     start = gru.initial(
         np.array([ends["c"] if ends else 0.5, *head["c"]], dtype=float), tail_c
     )
-    parameters = train_network(training, vocabulary, start)
+    parameters = train_network(training, ends["c"] if ends else 0, vocabulary, start)
     flat = parameters.flat
 
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -225,10 +228,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def score(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
         count = dict(zip(known["word"], known["c"].tolist(), strict=True))
         count[END] = ends["c"] if ends else 0
-        texts = [split_words(t) for t in part["text"]]
-        words = list(set().union([END], *texts))
+        numbers = {b"": 0}
+        for text in part["text"]:
+            for w in set(words_of(text)).difference(numbers):
+                numbers[w] = len(numbers)
+        words = [w.decode() for w in numbers]
         found = vocabulary.inputs(words)
-        numbers = {w: i for i, w in enumerate(words)}
         c = np.array([count.get(w, 0) for w in words], float)
         inputs = np.array([found[w] for w in words], np.int64)
         base = np.log10(c + 0.5) - math.log10(n + 0.5 * (v + 1))
@@ -236,7 +241,9 @@ def score_documents(docs: DataFrame) -> DataFrame:
         share = np.where(
             inputs < gru.HEAD, 0, np.log((c + 0.5) / (tail_c[tail] + 0.5 * (tail_kinds[tail] + 1)))
         )
-        rows = [np.array([numbers[w] for w in t] + [numbers[END]]) for t in texts]
+        rows = [
+            np.array([*map(numbers.__getitem__, words_of(t)), 0], np.int32) for t in part["text"]
+        ]
         logs = gru.log_likelihoods(gru.Parameters(flat), [inputs[r] for r in rows])
         return pd.DataFrame(
             {
