@@ -133,6 +133,24 @@ def _with(final: str, total_keys: str = "period", trade: bool = False, resent: b
     return f"with {feeds},{_staging(resent)},{_marts(total_keys)}\n{final}"
 
 
+def _scaled(factor: str, unit: str) -> str:
+    """The reliability mart per respondent in plain doubles, on readings times a factor."""
+    return f"""with {_EVENT_FEEDS},{_staging(False)},
+hours as (
+  select distinct g.period, g.respondent, g.report_date, d.demand_mwh * {factor} as demand,
+         sum(g.generation_mwh * {factor}) over (partition by g.period, g.respondent) as total
+  from stg_generation_by_fuel g
+  left join stg_demand d on g.period = d.period and g.respondent = d.respondent),
+flows as (
+  select h.*, total - coalesce(i.interchange_mwh * {factor}, 0) as net
+  from hours h
+  left join stg_interchange i on h.period = i.period and h.respondent = i.respondent)
+select period, respondent, report_date, round(demand / {unit}, 6) as demand,
+       round(total / {unit}, 6) as total_generation, round(net / {unit}, 6) as net_available,
+       round((net - demand) / nullif(demand, 0), 6) as reserve_margin_pct
+from flows"""
+
+
 _OWN = "period, respondent"
 _HOUR_TEXT = "strftime(period, '%Y-%m-%dT%H')"
 _VALUE_TEXT = "cast(cast(value as decimal(18,2)) as varchar)"
@@ -205,6 +223,28 @@ def _first_per_period(column: str) -> str:
 _HOUR = ["period", "respondent"]
 _FUEL_HOUR = ["period", "respondent", "fuel_type"]
 
+_SOURCE_NOT_NULL = {
+    "raw_demand": ["respondent", "period", "dt"],
+    "raw_interchange": ["respondent", "period", "dt"],
+    "raw_generation_by_fuel": ["respondent", "period", "fuel_type", "dt"],
+}
+_MODEL_NOT_NULL = {
+    "stg_demand": [*_HOUR, "demand_mwh"],
+    "stg_interchange": [*_HOUR, "interchange_mwh"],
+    "stg_generation_by_fuel": [*_FUEL_HOUR, "generation_mwh"],
+    "mart_demand_vs_generation": [*_FUEL_HOUR, "demand_mwh", "total_generation_mwh"],
+    "mart_interchange_balance": [*_HOUR, "interchange_mwh", "flow_direction"],
+    "mart_grid_reliability": [*_HOUR, "demand_mwh", "grid_status"],
+}
+_MODEL_UNIQUE = {
+    "stg_demand": _HOUR,
+    "stg_interchange": _HOUR,
+    "stg_generation_by_fuel": _FUEL_HOUR,
+    "mart_demand_vs_generation": _FUEL_HOUR,
+    "mart_interchange_balance": _HOUR,
+    "mart_grid_reliability": _HOUR,
+}
+
 ORACLE: dict[str, str] = {
     "raw_scan_roundtrip": _with(
         f"""select respondent, fuel_type as fueltype, {_HOUR_TEXT} as period,
@@ -243,6 +283,17 @@ from parsed""",
     "generation_rows_per_fuel": _with(
         """select fuel_type, count(*) as "rows" from raw_generation_by_fuel
 group by fuel_type order by fuel_type"""
+    ),
+    "loaded_row_counts_one_day": _with(
+        " union all ".join(
+            f"""select '{t}' as "table", date '2024-01-10' as dt, count(*) as "rows" from {t}
+where dt = date '2024-01-10'"""
+            for t in ("raw_demand", "raw_interchange", "raw_generation_by_fuel")
+        )
+    ),
+    "generation_rows_per_fuel_one_day": _with(
+        """select fuel_type, count(*) as "rows" from raw_generation_by_fuel
+where dt = date '2024-01-10' group by fuel_type order by fuel_type"""
     ),
     "stg_demand": _with("select * from stg_demand"),
     "stg_interchange": _with("select * from stg_interchange"),
@@ -296,6 +347,8 @@ from mart_demand_vs_generation""",
     "mart_demand_vs_generation_resent_demand": _with(
         "select * from mart_demand_vs_generation", resent=True
     ),
+    "mart_grid_reliability_fine_readings": _scaled("(1 / 7e7)", "1e-6"),
+    "mart_grid_reliability_large_readings": _scaled("(1e15 / 7)", "1e15"),
     "mart_grid_reliability_resent_demand": _with(
         "select * from mart_grid_reliability", resent=True
     ),
@@ -348,37 +401,25 @@ from {_first_per_period('supply_demand_delta_mwh')}"""
     ),
     "dq_source_not_null": _with(
         _not_null(
-            {
-                "raw_demand": ["respondent", "period", "dt"],
-                "raw_interchange": ["respondent", "period", "dt"],
-                "raw_generation_by_fuel": ["respondent", "period", "fuel_type", "dt"],
-            }
+            _SOURCE_NOT_NULL
         )
     ),
     "dq_model_not_null": _with(
         _not_null(
-            {
-                "stg_demand": [*_HOUR, "demand_mwh"],
-                "stg_interchange": [*_HOUR, "interchange_mwh"],
-                "stg_generation_by_fuel": [*_FUEL_HOUR, "generation_mwh"],
-                "mart_demand_vs_generation": [*_FUEL_HOUR, "demand_mwh", "total_generation_mwh"],
-                "mart_interchange_balance": [*_HOUR, "interchange_mwh", "flow_direction"],
-                "mart_grid_reliability": [*_HOUR, "demand_mwh", "grid_status"],
-            }
+            _MODEL_NOT_NULL
         )
     ),
     "dq_unique_combination": _with(
         _unique(
-            {
-                "stg_demand": _HOUR,
-                "stg_interchange": _HOUR,
-                "stg_generation_by_fuel": _FUEL_HOUR,
-                "mart_demand_vs_generation": _FUEL_HOUR,
-                "mart_interchange_balance": _HOUR,
-                "mart_grid_reliability": _HOUR,
-            }
+            _MODEL_UNIQUE
         )
     ),
+    "dq_quality_report": _with(
+        f"""select 'not_null' as "check", "table", "column" as "columns", failures from (
+{_not_null({**_SOURCE_NOT_NULL, **_MODEL_NOT_NULL})}) union all
+select 'unique_combination' as "check", "table", "columns", failures from (
+{_unique(_MODEL_UNIQUE)})"""
+    ),
     "dq_unique_combination_resent_demand": _with(
         """select period, respondent, count(*) as "count" from stg_demand
 group by period, respondent having count(*) > 1""",

@@ -33,6 +33,7 @@ from gridmargin.operators.quality import (
     MODEL_UNIQUE,
     SOURCE_NOT_NULL,
     not_null_report,
+    quality_report,
     unique_report,
 )
 from gridmargin.operators.totals import PER_RESPONDENT, POOLED
@@ -193,6 +194,20 @@ def loaded_row_counts_query(spark, sf_dir):
     return loaded_row_counts(layers.raw_tables(spark, sf_dir))
 
 
+# The day of the one-day forms of the checks after a load.
+LOADED_DAY = "2024-01-10"
+
+
+@query("loaded_row_counts_one_day")
+def loaded_row_counts_one_day(spark, sf_dir):
+    return loaded_row_counts(layers.raw_tables(spark, sf_dir), LOADED_DAY)
+
+
+@query("generation_rows_per_fuel_one_day")
+def generation_rows_per_fuel_one_day(spark, sf_dir):
+    return rows_per_fuel(layers.warehouse(spark, sf_dir, GENERATION.name), LOADED_DAY)
+
+
 @query("generation_rows_per_fuel")
 def generation_rows_per_fuel(spark, sf_dir):
     return rows_per_fuel(layers.warehouse(spark, sf_dir, GENERATION.name))
@@ -350,6 +365,38 @@ def mart_grid_reliability_resent_demand(spark, sf_dir):
     )
 
 
+def _scaled_reliability(spark, sf_dir, factor, unit):
+    """The mart on readings that six decimals can't hold, in rounded units for comparing."""
+    scaled = [
+        frame.withColumn(name, F.col(name) * F.lit(factor))
+        for frame, name in zip(
+            (*_staging(spark, sf_dir), stg_interchange_query(spark, sf_dir)),
+            ("generation_mwh", "demand_mwh", "interchange_mwh"),
+            strict=True,
+        )
+    ]
+    mart = grid_reliability_from_staging(*scaled, PER_RESPONDENT)
+    return mart.select(
+        "period",
+        "respondent",
+        "report_date",
+        F.round(F.col("demand_mwh") / unit, 6).alias("demand"),
+        F.round(F.col("total_generation_mwh") / unit, 6).alias("total_generation"),
+        F.round(F.col("net_available_generation_mwh") / unit, 6).alias("net_available"),
+        F.round("reserve_margin_pct", 6).alias("reserve_margin_pct"),
+    )
+
+
+@query("mart_grid_reliability_fine_readings")
+def mart_grid_reliability_fine_readings(spark, sf_dir):
+    return _scaled_reliability(spark, sf_dir, 1 / 7e7, 1e-6)
+
+
+@query("mart_grid_reliability_large_readings")
+def mart_grid_reliability_large_readings(spark, sf_dir):
+    return _scaled_reliability(spark, sf_dir, 1e15 / 7, 1e15)
+
+
 # Reports
 
 
@@ -422,6 +469,12 @@ def dq_unique_combination(spark, sf_dir):
     return unique_report(_models(spark, sf_dir), MODEL_UNIQUE)
 
 
+@query("dq_quality_report")
+def dq_quality_report(spark, sf_dir):
+    raw = layers.raw_tables(spark, sf_dir)
+    return quality_report({**raw, **models(raw)})
+
+
 @query("dq_unique_combination_resent_demand")
 def dq_unique_combination_resent_demand(spark, sf_dir):
     return unique_combination(
