@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmargin.llm.common import table
+from gridmargin.llm.common import stored, table
 
 # Branches under this composite importance are removed.
 THRESHOLD = 0.15
@@ -100,8 +100,8 @@ def parse(source: str | None) -> Page:
     stack = [0]
     while at < len(text):
         match = _TOKEN.match(text, at)
-        if match is None:  # a tag with an open quote: take it up to the next bracket
-            end = text.find(">", at)
+        if match[0] == "<" and (text[at + 1 : at + 2].isalpha() or text[at + 1 : at + 2] == "/"):
+            end = text.find(">", at)  # a tag with an open quote, or one that never ends
             at = len(text) if end < 0 else end + 1
             continue
         at = match.end()
@@ -209,15 +209,24 @@ def composite(page: Page, importance: dict[int, tuple[float, float]]) -> list[fl
     return out
 
 
+def best_within(page: Page, score: list[float]) -> list[float]:
+    """Largest importance in each branch: a branch is noise only if everything in it is."""
+    best = list(score)
+    for number in range(len(best) - 1, 0, -1):
+        parent = page.parents[number]
+        best[parent] = max(best[parent], best[number])
+    return best
+
+
 def main_text(page: Page, importance: dict[int, tuple[float, float]]) -> str:
     """Text of the branches that stay.
 
     Furniture by its own name or role and branches of low importance go. Prose in an article
-    stays even where all pages of a host repeat it. If the page has articles or a main element,
+    stays even where all pages of a host repeat it, and inline elements go with their block. If the page has articles or a main element,
     only what is in them counts.
     """
     n = len(page.tags)
-    score = composite(page, importance)
+    score = best_within(page, composite(page, importance))
     state = [0] * n  # 0 outside of an article, 1 inside, 2 removed, 3 never shown
     for number in range(1, n):
         tag, parent = page.tags[number], state[page.parents[number]]
@@ -227,7 +236,7 @@ def main_text(page: Page, importance: dict[int, tuple[float, float]]) -> str:
             state[number] = 1
         elif parent == 2 or page.chrome[number] or (tag == "header" and parent == 0):
             state[number] = 2
-        elif score[number] < THRESHOLD and not (parent == 1 and tag in PROSE):
+        elif tag in BLOCKS and score[number] < THRESHOLD and not (parent == 1 and tag in PROSE):
             state[number] = 2
         else:
             state[number] = parent
@@ -319,8 +328,9 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     pages = pages.select(
         F.col("page_id").cast("long"), "url", "html", host_of(F.col("url")).alias("host")
     )
-    # Sides of measured size: AQE broadcasts a small tree and splits a hot host otherwise.
-    joined = pages.join(style_tree(pages), "host", "left")
+    # Stored, its size is known when the join is planned: small trees are broadcast and the pages
+    # stay where they are, larger ones are joined by host, where AQE splits a hot one.
+    joined = pages.join(stored(style_tree(pages), "style-tree"), "host", "left")
     return joined.select("page_id", "url", "html", "host", "paths", "layouts", "contents").mapInPandas(
         cut, "page_id long, url string, text string, n_chars long"
     )
