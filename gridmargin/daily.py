@@ -1,6 +1,7 @@
 """The daily run: land, curate, load and model one day.
 
-    python -m gridmargin.daily --base <path> [--date YYYY-MM-DD]
+    python -m gridmargin.daily --base <path> [--date YYYY-MM-DD] [--per-respondent]
+        [--source demand=<path> ...] [--facet respondent=A,B ...]
 """
 
 from __future__ import annotations
@@ -13,16 +14,20 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import UTC, date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
-from gridmargin.operators.quality import DataValidationError
-from gridmargin.operators.totals import POOLED
+from gridmargin.operators.quality import (
+    DataValidationError,
+    quality_report,
+    warehouse_key_repeats,
+)
+from gridmargin.operators.totals import PER_RESPONDENT, POOLED
 from gridmargin.plans.views import register_views
 from gridmargin.schemas import DATASETS, Dataset
 from gridmargin.session import get_session
 from gridmargin.sources.curated import curate_day
 from gridmargin.sources.landing import land, read_raw, select_facets
-from gridmargin.sources.warehouse import load_day
+from gridmargin.sources.warehouse import load_day, read_warehouse
 
 log = logging.getLogger("gridmargin.daily")
 
@@ -35,6 +40,8 @@ class RunReport:
     stages: list[str] = field(default_factory=list)
     failed_stage: str | None = None
     failed: list[str] = field(default_factory=list)
+    # (check, table, columns, failures) of every check on sources and models; they report only.
+    quality: list[Row] = field(default_factory=list)
 
     @property
     def ok(self) -> bool:
@@ -114,6 +121,22 @@ def load_all(spark: SparkSession, curated: str, warehouse: str, run_date: date)
     )
 
 
+def model(
+    spark: SparkSession, warehouse: str, total_keys: Sequence[str] = POOLED
+) -> list[Row]:
+    """Register the models and check them; returns the outcome of all checks.
+
+    Where warehouse keys repeat, the models take the form whose hot keys can be split.
+    """
+    raw = {d.table: read_warehouse(spark, warehouse, d) for d in DATASETS.values()}
+    repeats = warehouse_key_repeats(raw).filter("failures > 0").count() > 0
+    checks = quality_report(register_views(spark, warehouse, total_keys, repeats)).collect()
+    for check in checks:
+        if check.failures:
+            log.warning("%s on %s (%s): %d", check.check, check.table, check.columns, check.failures)
+    return checks
+
+
 def run_day(
     spark: SparkSession,
     base: str,
@@ -124,17 +147,23 @@ def run_day(
 ) -> RunReport:
     """Land (if bulk sources are given), curate, load and model one day, in that order.
 
-    A stage with failures ends the run; every dataset of that stage is still attempted.
+    A stage with failures ends the run; every dataset of that stage is still attempted. The
+    checks of the model stage report and do not fail the run.
     """
     where = paths(base)
+    report = RunReport(run_date)
+
+    def build() -> list[str]:
+        report.quality = model(spark, where["warehouse"], total_keys)
+        return []
+
     stages: list[tuple[str, Callable[[], list[str]]]] = [
         ("curate", lambda: run(spark, where["landing"], where["curated"], run_date)),
         ("load", lambda: load_all(spark, where["curated"], where["warehouse"], run_date)),
-        ("model", lambda: register_views(spark, where["warehouse"], total_keys) and []),
+        ("model", build),
     ]
     if sources is not None:
         stages.insert(0, ("land", lambda: land_all(sources, where["landing"], run_date, facets)))
-    report = RunReport(run_date)
     for name, stage in stages:
         report.failed = stage()
         if report.failed:
@@ -148,10 +177,33 @@ def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description=__doc__)
     parser.add_argument("--base", required=True, help="root of landing, curated and warehouse")
     parser.add_argument("--date", type=date.fromisoformat, default=None)
+    parser.add_argument(
+        "--source", action="append", default=[], metavar="DATASET=PATH",
+        help="Parquet table to land a dataset from; give one for each dataset, or none",
+    )
+    parser.add_argument(
+        "--facet", action="append", default=[], metavar="NAME=VALUE,VALUE",
+        help="land only rows with one of these values",
+    )
+    parser.add_argument(
+        "--per-respondent", action="store_true", help="total generation per respondent, not pooled"
+    )
     args = parser.parse_args(argv)
+    source_paths = dict(item.split("=", 1) for item in args.source)
+    if source_paths and set(source_paths) != set(DATASETS):
+        parser.error(f"--source is needed for each of {', '.join(DATASETS)}")
+    facets = {name: values.split(",") for name, values in (f.split("=", 1) for f in args.facet)}
     spark = get_session("gridmargin-daily")
     try:
-        report = run_day(spark, args.base, args.date or resolve_run_date())
+        sources = {name: spark.read.parquet(path) for name, path in source_paths.items()}
+        report = run_day(
+            spark,
+            args.base,
+            args.date or resolve_run_date(),
+            sources or None,
+            facets,
+            PER_RESPONDENT if args.per_respondent else POOLED,
+        )
     finally:
         spark.stop()
     if not report.ok:

@@ -48,6 +48,8 @@ def test_a_day_end_to_end(spark, tmp_path):
     row = mart.orderBy("period").first()
     assert (row.total_generation_mwh, row.net_available_generation_mwh, row.grid_status) == (120.0, 125.0, "surplus")
     assert row.report_date == DAY
+    assert {q.table for q in report.quality} >= {"raw_demand", "stg_demand", "mart_grid_reliability"}
+    assert not any(q.failures for q in report.quality)
 
     # The same day again changes nothing, the next day adds to it.
     assert daily.run_day(spark, base, DAY, bulk(spark), {"respondent": ["A"]}).ok
@@ -104,9 +106,19 @@ class TestMain:
     def test_success(self, session, monkeypatch):
         monkeypatch.setattr(daily, "run_day", MagicMock(return_value=daily.RunReport(DAY)))
         daily.main(["--base", "b", "--date", "2026-08-08"])
-        daily.run_day.assert_called_once_with(session, "b", DAY)
+        daily.run_day.assert_called_once_with(session, "b", DAY, None, {}, ("period",))
         session.stop.assert_called_once()
 
+    def test_sources_facets_and_totals(self, session, monkeypatch):
+        monkeypatch.setattr(daily, "run_day", MagicMock(return_value=daily.RunReport(DAY)))
+        sources = [a for name in DATASETS for a in ("--source", f"{name}=/x/{name}")]
+        daily.main(["--base", "b", "--date", "2026-08-08", *sources, "--facet", "respondent=A,B", "--per-respondent"])
+        *_, given, facets, keys = daily.run_day.call_args.args
+        assert set(given) == set(DATASETS) and facets == {"respondent": ["A", "B"]}
+        assert keys == ("period", "respondent")
+        with pytest.raises(SystemExit):
+            daily.main(["--base", "b", "--source", "demand=/x"])
+
     def test_failure_exits_with_one(self, session, monkeypatch):
         failed = daily.RunReport(DAY, failed_stage="curate", failed=["demand"])
         monkeypatch.setattr(daily, "run_day", MagicMock(return_value=failed))
