@@ -45,11 +45,16 @@ def topic_centres(docs: DataFrame) -> tuple[dict[str, np.ndarray], np.ndarray]:
     Profiles are taken relative to the mean of their language, so that topics are not
     languages over again; '' has the mean of all, for languages that the sample lacks.
     """
+    # Keys are sorted without their texts, so that no task reads more than keys.
+    key = F.xxhash64("doc_id", "text").alias("key")
+    worded = docs.filter(F.length("text") > 0)
+    chosen = worded.select(key).distinct().orderBy("key").limit(TOPIC_SAMPLE)
     sample = (
-        docs.filter(F.length("text") > 0)
-        .select("doc_id", "text", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-        .limit(TOPIC_SAMPLE)
+        worded.select(
+            key, "text", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")
+        )
+        .join(F.broadcast(chosen), "key", "left_semi")  # TOPIC_SAMPLE keys at most
+        .dropDuplicates(["key"])
         .select("text", "lang")
     )
 
