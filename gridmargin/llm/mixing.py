@@ -23,8 +23,10 @@ from gridmargin.llm.simhash import words_of
 
 DIMENSIONS = ("source", "lang", "topic")
 TOPICS, WORD_SLOTS = 8, 256
-# Most documents that topics are clustered from, those with the smallest hash.
-TOPIC_SAMPLE = 3_000
+# Most documents that the first centres are drawn from, those with the smallest hash.
+START_SAMPLE = 3_000
+# Rounds of k-means over all documents.
+TOPIC_ROUNDS = 4
 # A value's target is its share of the tokens to this power: large ones shrink, small ones grow.
 TEMPER = 0.7
 # Expected share of the tokens that is kept.
@@ -39,42 +41,92 @@ def word_profile(words: list[bytes]) -> np.ndarray:
     return (counts / max(np.linalg.norm(counts), 1e-9)).astype(np.float32)
 
 
+def residual(profiles: np.ndarray, means: np.ndarray) -> np.ndarray:
+    """Unit vectors of profiles relative to means; zero where they are equal."""
+    vectors = profiles - means
+    return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
+
+
+def _summed(rows: DataFrame, key: str) -> tuple[list, np.ndarray, np.ndarray]:
+    """Values of ``key``, and per value the sums of ``n`` and of the arrays ``total``."""
+    found = (
+        rows.select(key, F.posexplode(F.concat(F.array(F.col("n").cast("double")), "total")))
+        .groupBy(key, "pos")
+        .agg(F.sum("col").alias("sum"))
+        .toPandas()
+        .pivot(index=key, columns="pos", values="sum")
+    )
+    sums = found.to_numpy(dtype=float).reshape(-1, 1 + WORD_SLOTS)
+    return found.index.tolist(), sums[:, 0], sums[:, 1:]
+
+
 def topic_centres(docs: DataFrame) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """(means, centres) of a bounded sample's word profiles.
+    """(means, centres) of the word profiles of all documents with text.
 
     Profiles are taken relative to the mean of their language, so that topics are not
-    languages over again; '' has the mean of all, for languages that the sample lacks.
+    languages over again; '' has the mean of documents without a language, of all if there
+    are none. Batches send sums, Spark adds them, and a few rounds of k-means read all documents each. Only the first
+    centres come from a bounded sample.
     """
-    # Keys are sorted without their texts, so that no task reads more than keys.
     key = F.xxhash64("doc_id", "text").alias("key")
-    worded = docs.filter(F.length("text") > 0)
-    chosen = worded.select(key).distinct().orderBy("key").limit(TOPIC_SAMPLE)
-    sample = (
-        worded.select(
-            key, "text", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")
-        )
-        .join(F.broadcast(chosen), "key", "left_semi")  # TOPIC_SAMPLE keys at most
-        .dropDuplicates(["key"])
-        .select("text", "lang")
+    worded = docs.filter(F.length("text") > 0).select(
+        key, "text", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("lang")
     )
 
     def profiles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [word_profile(words_of(t)).tolist() for t in batch["text"]]
-            yield pd.DataFrame({"lang": batch["lang"], "profile": found})
+            found = [word_profile(words_of(t)) for t in batch["text"]]
+            yield pd.DataFrame({"key": batch["key"], "lang": batch["lang"], "profile": found})
 
-    rows = sorted(
-        (r["lang"], tuple(r["profile"]))
-        for r in sample.mapInPandas(profiles, "lang string, profile array<float>").collect()
+    profiled = stored(
+        worded.mapInPandas(profiles, "key long, lang string, profile array<float>"), "profiles"
     )
-    vectors = np.array([p for _, p in rows], np.float32).reshape(-1, WORD_SLOTS)
-    langs = np.array([lang for lang, _ in rows], object)
-    whole = vectors.mean(axis=0) if len(vectors) else np.zeros(WORD_SLOTS, np.float32)
-    means = {"": whole} | {lang: vectors[langs == lang].mean(axis=0) for lang in set(langs)}
+
+    def by_language(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lang, some in batch.groupby("lang")["profile"]:
+                total = np.stack(some.to_numpy()).sum(axis=0, dtype=float)
+                yield pd.DataFrame({"lang": [lang], "n": [len(some)], "total": [total]})
+
+    langs, counts, totals = _summed(
+        profiled.mapInPandas(by_language, "lang string, n long, total array<double>"), "lang"
+    )
+    whole = totals.sum(axis=0) / max(counts.sum(), 1)
+    means = {"": whole.astype(np.float32)}
+    for lang, total, count in zip(langs, totals, counts, strict=True):
+        means[lang] = (total / count).astype(np.float32)
+
+    # Keys are sorted without their profiles, so that no task reads more than keys.
+    chosen = profiled.select("key").distinct().orderBy("key").limit(START_SAMPLE)
+    sample = profiled.join(F.broadcast(chosen), "key", "left_semi").dropDuplicates(["key"])
+    start = sorted((r["lang"], tuple(r["profile"])) for r in sample.drop("key").collect())
+    vectors = np.array([p for _, p in start], np.float32).reshape(-1, WORD_SLOTS)
     if len(vectors):
-        vectors = vectors - np.array([means[lang] for lang in langs])
-        vectors /= np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
-    return means, cluster(vectors, np.ones(len(vectors)), TOPICS)
+        vectors = residual(vectors, np.array([means[lang] for lang, _ in start]))
+    centres = cluster(vectors, np.ones(len(vectors)), TOPICS)
+
+    for _ in range(TOPIC_ROUNDS if len(vectors) else 0):
+
+        def by_topic(batches: Iterator[pd.DataFrame], centres=centres) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if not len(batch):
+                    continue
+                found = residual(
+                    np.stack(batch["profile"].to_numpy()), np.array([means[x] for x in batch["lang"]])
+                )
+                nearest = (found @ centres.T).argmax(axis=1)
+                for topic in np.unique(nearest):
+                    mine = found[nearest == topic]
+                    total = mine.sum(axis=0, dtype=float)
+                    yield pd.DataFrame({"topic": [topic], "n": [len(mine)], "total": [total]})
+
+        topics, _, moved = _summed(
+            profiled.mapInPandas(by_topic, "topic int, n long, total array<double>"), "topic"
+        )
+        centres = centres.copy()
+        moved /= np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-9)
+        centres[topics] = moved.astype(np.float32)
+    return means, centres
 
 
 def with_facts(docs: DataFrame, centres: tuple[dict[str, np.ndarray], np.ndarray]) -> DataFrame:
