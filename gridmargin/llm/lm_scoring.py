@@ -16,10 +16,9 @@ from gridmargin.llm.common import stored, table
 from gridmargin.llm.simhash import words_of
 
 END = ""  # no word is empty
-# One in so many training documents teaches the network, but so many documents at least; all of
-# them are counted.
-TRAINED_SHARE, LEAST_DOCUMENTS = 16, 2_000
-ROUNDS, LEAST_STEPS = 2, 200
+LEAST_STEPS = 200
+# Documents that are read side by side.
+LANES = 256
 # Tail words that the tail classes are clustered from, the most frequent ones.
 CLUSTER_WORDS = 20_000
 BLOCK_BYTES = 20_000_000
@@ -105,47 +104,39 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def train_network(
-    docs: DataFrame, n: int, vocabulary: Vocabulary, start: gru.Parameters
+    docs: DataFrame, vocabulary: Vocabulary, start: gru.Parameters
 ) -> gru.Parameters:
-    """Rounds of local training on every part of the sampled documents, then averaging.
+    """Local training on every part of the documents, then averaging.
 
-    The sample of the ``n`` documents is a fixed share, so it grows with the corpus. Each task trains on its own
-    documents; Spark averages the weights position by position, by tokens read, and only the
-    averages, whose number is fixed, reach the driver.
+    All documents are read, at every size. Each task trains on its own documents; Spark averages
+    the weights position by position, by tokens read, and only the averages, whose number is
+    fixed, reach the driver.
     """
-    share = max(1 / TRAINED_SHARE, LEAST_DOCUMENTS / max(n, 1))
-    place = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(1 << 20))
-    sample = docs.filter(place < F.lit(int(share * (1 << 20))))
-    parameters = start
-    for round_ in range(ROUNDS):
-        flat = parameters.flat
-
-        def local(batches: Iterator[pd.DataFrame], flat=flat, round_=round_) -> Iterator[pd.DataFrame]:
-            p = gru.Parameters(flat.copy())
-            tokens = 0
-            for batch in batches:
-                encoded = vocabulary.encode([split_words(t) for t in batch["text"]])
-                p, read = gru.train(
-                    p, encoded, LEAST_STEPS, rate=4e-3 if round_ == 0 else 2e-3, seed=round_
-                )
-                tokens += read
-            if tokens:
-                yield pd.DataFrame({"tokens": [float(tokens)], "weights": [p.flat]})
-
-        means = (
-            sample.select("text")
-            .mapInPandas(local, "tokens double, weights array<float>")
-            .select("tokens", F.posexplode("weights").alias("at", "weight"))
-            .groupBy("at")
-            .agg((F.sum(F.col("weight") * F.col("tokens")) / F.sum("tokens")).alias("mean"))
-            .toPandas()
-        )
-        if not len(means):
-            break
-        flat = np.empty(gru.SIZE, np.float32)
-        flat[means["at"].to_numpy()] = means["mean"].to_numpy()
-        parameters = gru.Parameters(flat)
-    return parameters
+    flat = start.flat
+
+    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        p = gru.Parameters(flat.copy())
+        tokens = 0
+        for batch in batches:
+            encoded = vocabulary.encode([split_words(t) for t in batch["text"]])
+            p, read = gru.train(p, encoded, LEAST_STEPS, lanes=LANES)
+            tokens += read
+        if tokens:
+            yield pd.DataFrame({"tokens": [float(tokens)], "weights": [p.flat]})
+
+    means = (
+        docs.select("text")
+        .mapInPandas(local, "tokens double, weights array<float>")
+        .select("tokens", F.posexplode("weights").alias("at", "weight"))
+        .groupBy("at")
+        .agg((F.sum(F.col("weight") * F.col("tokens")) / F.sum("tokens")).alias("mean"))
+        .toPandas()
+    )
+    if not len(means):
+        return start
+    trained = np.empty(gru.SIZE, np.float32)
+    trained[means["at"].to_numpy()] = means["mean"].to_numpy()
+    return gru.Parameters(trained)
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -203,7 +194,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     start = gru.initial(
         np.array([ends["c"] if ends else 0.5, *head["c"]], dtype=float), tail_c
     )
-    parameters = train_network(training, ends["c"] if ends else 0, vocabulary, start)
+    parameters = train_network(training, vocabulary, start)
     flat = parameters.flat
 
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
