@@ -52,6 +52,29 @@ CHROME_NAMES = set(
     "share sharing social comment comments commentlist reply replies respond disqus related "
     "recommended widget pagination pager skip toolbar copyright legal disclaimer search".split()
 )
+# Furniture whatever the share of the text; in classes also as the first part of a name.
+REMARKS = set("comment comments commentlist reply replies respond disqus related recommended".split())
+# What may hold the whole page; names and roles don't remove it.
+WRAPPERS = set("html body main article".split())
+CHROME_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
+
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|<[!?/][^>]*>|[^<]+|<",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_NOT_SHOWN = re.compile(r"(?<![\w-])display\s*:\s*none", re.I)
+_NAMES = set(
+    "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion "
+    "sidebar menu nav navbar navigation navi breadcrumb breadcrumbs footer masthead cookie cookies "
+    "consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login "
+    "share sharing social comment comments commentlist reply replies respond disqus related "
+    "recommended widget pagination pager skip toolbar copyright legal disclaimer search".split()
+)
+# Furniture whatever the share of the text; in classes also as the first part of a name.
+REMARKS = set("comment comments commentlist reply replies respond disqus related recommended".split())
+# What may hold the whole page; names and roles don't remove it.
+WRAPPERS = set("html body main article".split())
 CHROME_ROLES = set("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 _TOKEN = re.compile(
@@ -71,22 +94,34 @@ class Page:
     parents: list[int] = field(default_factory=list)
     paths: list[int] = field(default_factory=list)
     chrome: list[bool] = field(default_factory=list)
+    named: list[bool] = field(default_factory=list)  # furniture unless most of the text is in it
     children: list[list[int]] = field(default_factory=list)
     pieces: list[tuple[int, str]] = field(default_factory=list)  # element, text
 
 
-def _label(tag: str, attributes: str) -> tuple[str, bool]:
-    """Name of an element in the tree and whether it is page furniture by its own account."""
-    chrome = tag in CHROME
+def _label(tag: str, attributes: str) -> tuple[str, bool, bool]:
+    """Name of an element in the tree, and whether it is page furniture by its own account.
+
+    The second is certain, the third holds unless most of the text is in it.
+    """
+    chrome, named = tag in CHROME and tag != "form", tag == "form"
     names: list[str] = []
-    if attributes and ("=" in attributes or "hidden" in attributes):
-        chrome = chrome or bool(_HIDDEN.search(attributes))
-        for kind, *values in _NAMING.findall(attributes):
-            words = _NAMES.findall("".join(values).lower())
-            names += words
-            known = CHROME_ROLES if kind.lower() == "role" else CHROME_NAMES
-            chrome = chrome or any(w in known for w in words)
-    return " ".join([tag, *sorted(set(names))]), chrome
+    if attributes and ("=" in attributes or "hidden" in attributes.lower()):
+        for kind, *values in _ATTRIBUTE.findall(attributes):
+            kind, value = kind.lower(), "".join(values).lower()
+            if kind == "hidden" or (kind == "style" and _NOT_SHOWN.search(value)):
+                chrome = True
+            elif kind in ("class", "id", "role"):
+                names += _NAMES.findall(value)
+                if tag in WRAPPERS:
+                    continue
+                tokens = value.split()
+                known = CHROME_ROLES if kind == "role" else CHROME_NAMES
+                named = named or any(t in known for t in tokens)
+                if kind == "class":
+                    tokens = [re.split("[-_]", t, maxsplit=1)[0] for t in tokens]
+                chrome = chrome or (kind != "role" and any(t in REMARKS for t in tokens))
+    return " ".join([tag, *sorted(set(names))]), chrome, named
 
 
 def parse(source: str | None) -> Page:
@@ -96,6 +131,7 @@ def parse(source: str | None) -> Page:
     page.parents.append(-1)
     page.paths.append(0)
     page.chrome.append(False)
+    page.named.append(False)
     page.children.append([])
     stack = [0]
     while at < len(text):
@@ -121,13 +157,14 @@ def parse(source: str | None) -> Page:
                 page.pieces.append((stack[-1], " "))
             continue
         _close_implied(page, stack, tag)
-        label, chrome = _label(tag, match[3])
+        label, chrome, named = _label(tag, match[3])
         parent = stack[-1]
         number = len(page.tags)
         page.tags.append(tag)
         page.parents.append(parent)
         page.paths.append(xxhash.xxh64_intdigest(label.encode(), seed=page.paths[parent]))
         page.chrome.append(chrome)
+        page.named.append(named)
         page.children.append([])
         page.children[parent].append(number)
         if tag in BLOCKS:
@@ -218,23 +255,44 @@ def best_within(page: Page, score: list[float]) -> list[float]:
     return best
 
 
+def furniture(page: Page) -> list[bool]:
+    """Which elements are furniture by their own account, given where the text is."""
+    if not any(page.named):
+        return page.chrome
+    n = len(page.tags)
+    unseen, length = [False] * n, [0] * n
+    for number in range(1, n):
+        unseen[number] = (
+            unseen[page.parents[number]] or page.tags[number] in UNSEEN or page.chrome[number]
+        )
+    for element, text in page.pieces:
+        if not unseen[element]:
+            length[element] += len(text.strip())
+    for number in range(n - 1, 0, -1):
+        length[page.parents[number]] += length[number]
+    most = length[0] / 2
+    return [c or (m and x <= most) for c, m, x in zip(page.chrome, page.named, length, strict=True)]
+
+
 def main_text(page: Page, importance: dict[int, tuple[float, float]]) -> str:
     """Text of the branches that stay.
 
-    Furniture by its own name or role and branches of low importance go. Prose in an article
-    stays even where all pages of a host repeat it, and inline elements go with their block. If the page has articles or a main element,
-    only what is in them counts.
+    Furniture by its own name or role and branches of low importance go, but a name removes no
+    element with most of the text. Prose in an article stays even where all pages of a host
+    repeat it, and inline elements go with their block. If the page has articles or a main
+    element outside of what goes, only what is in them counts.
     """
     n = len(page.tags)
+    chrome = furniture(page)
     score = best_within(page, composite(page, importance))
     state = [0] * n  # 0 outside of an article, 1 inside, 2 removed, 3 never shown
     for number in range(1, n):
         tag, parent = page.tags[number], state[page.parents[number]]
         if parent == 3 or tag in UNSEEN:
             state[number] = 3
-        elif tag in ("article", "main") and not page.chrome[number]:
+        elif tag in ("article", "main") and parent != 2 and not chrome[number]:
             state[number] = 1
-        elif parent == 2 or page.chrome[number] or (tag == "header" and parent == 0):
+        elif parent == 2 or chrome[number] or (tag == "header" and parent == 0):
             state[number] = 2
         elif tag in BLOCKS and score[number] < THRESHOLD and not (parent == 1 and tag in PROSE):
             state[number] = 2
