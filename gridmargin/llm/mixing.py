@@ -209,6 +209,48 @@ def kept_scale(cells: DataFrame, share: float) -> float:
     return float(high)
 
 
+def attainable(cells: DataFrame, wanted: DataFrame, name: str, share: float) -> DataFrame:
+    """(name, target): the tokens of each value that ``share`` of all should keep.
+
+    A value whose target is more than it has keeps all, the others share the rest by their targets.
+    """
+    total = cells.agg(F.sum("tokens")).first()[0] or 0
+    values = checkpointed(
+        cells.groupBy(name).agg(F.sum("tokens").alias("tokens"))
+        .join(wanted.select(F.col("value").alias(name), "share"), name)
+        .withColumn("weight", F.col("share") * total / F.col("tokens"))
+    )
+    scale = kept_scale(values, share)
+    return values.select(
+        name, (F.col("tokens") * F.least(F.lit(1.0), F.col("weight") * scale)).alias(f"_{name}")
+    )
+
+
+def bounded(
+    weighted: DataFrame, targets: dict[str, DataFrame], share: float, rounds: int = ROUNDS
+) -> DataFrame:
+    """``weighted`` with ``probability``: raked again with the bound of 1 in place.
+
+    What the cells that are kept whole can't give comes from the others of their value.
+    """
+    raked = weighted.withColumn("_p", F.col("weight") * kept_scale(weighted, share))
+    for name in DIMENSIONS:
+        raked = raked.join(attainable(weighted, targets[name], name, share), name)
+    for round_ in range(rounds):
+        for name in DIMENSIONS:
+            value = Window.partitionBy(name)
+            whole = F.sum(F.when(F.col("_p") >= 1, F.col("tokens")).otherwise(0)).over(value)
+            part = F.sum(F.when(F.col("_p") < 1, F.col("_p") * F.col("tokens")).otherwise(0.0)).over(value)
+            target = F.col(f"_{name}")
+            factor = F.when((target > whole) & (part > 0), (target - whole) / part).otherwise(
+                F.least(F.lit(1.0), target / (whole + part))
+            )
+            raked = raked.withColumn("_p", F.col("_p") * factor)
+        if round_ % 5 == 4:
+            raked = checkpointed(raked)
+    return raked.select(*weighted.columns, F.least(F.lit(1.0), "_p").alias("probability"))
+
+
 def mix_documents(
     docs: DataFrame, targets: dict[str, DataFrame] | None = None, share: float = KEPT_SHARE
 ) -> DataFrame:
@@ -227,12 +269,10 @@ def mix_documents(
         "cells",
     )
     full = cells.filter("tokens > 0")
-    weighted = stored(rake(full, targets or tempered_targets(full)), "weights")
-    scale = kept_scale(weighted, share)
-    chances = weighted.select(
-        *[F.col(n).alias(f"_{n}") for n in DIMENSIONS],
-        "weight",
-        F.least(F.lit(1.0), F.col("weight") * scale).alias("probability"),
+    targets = targets or tempered_targets(full)
+    weighted = stored(rake(full, targets), "weights")
+    chances = stored(bounded(weighted, targets, share), "chances").select(
+        *[F.col(n).alias(f"_{n}") for n in DIMENSIONS], "weight", "probability"
     )
     match = reduce(
         lambda a, b: a & b, [F.col(f"facts.{n}") == F.col(f"_{n}") for n in DIMENSIONS]

@@ -20,3 +20,26 @@ def test_topics_come_from_all_documents(spark, monkeypatch):
     for lang, some in profiles.items():
         assert means[lang] == pytest.approx(np.mean(some, axis=0), abs=1e-6)
     assert np.linalg.norm(centres, axis=1) == pytest.approx([1.0] * mixing.TOPICS, rel=1e-5)
+
+
+def test_achieved_shares_on_skewed_cells(spark):
+    """Cells are clipped, but every value that has enough tokens meets its target."""
+    cells = [("a", "x", 0, 60_000), ("a", "y", 0, 900), ("b", "x", 1, 30_000), ("b", "y", 1, 8_000),
+             ("a", "x", 1, 700), ("b", "x", 0, 400), ("c", "y", 0, 50), ("c", "x", 1, 50)]
+    df = spark.createDataFrame(cells, "source string, lang string, topic int, tokens long")
+    targets = mixing.tempered_targets(df)
+    total = sum(c[3] for c in cells)
+    kept = 0.5 * total
+    got = mixing.bounded(mixing.rake(df, targets), targets, 0.5).collect()
+    assert max(r.probability for r in got) == 1 and all(0 < r.probability <= 1 for r in got)
+    assert sum(r.tokens * r.probability for r in got) == pytest.approx(kept, rel=0.02)
+    for name in mixing.DIMENSIONS:
+        for value, share in targets[name].collect():
+            has = sum(r.tokens for r in got if r[name] == value)
+            achieved = sum(r.tokens * r.probability for r in got if r[name] == value)
+            wanted = share * kept
+            print(name, value, has, round(wanted), round(achieved))
+            if wanted <= has:
+                assert achieved == pytest.approx(wanted, rel=0.05)
+            else:
+                assert achieved == pytest.approx(has, rel=0.02)
