@@ -134,9 +134,14 @@ def spans_of(starts: np.ndarray, counts: np.ndarray, k: int, total: int) -> np.n
 
 
 def with_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """``docs`` with the arrays ``starts`` and ``counts`` of their windows, null without any."""
-    per_row = windows.groupBy("row").agg(
-        F.collect_list("start").alias("starts"), F.collect_list("n").alias("counts")
+    """``docs`` with the arrays ``starts`` and ``counts`` of their windows, null without any.
+
+    Windows of rows that repeat are combined before they are sent and count once.
+    """
+    per_row = (
+        windows.groupBy("row")
+        .agg(F.collect_set(F.struct("start", "n")).alias("runs"))
+        .select("row", F.col("runs.start").alias("starts"), F.col("runs.n").alias("counts"))
     )
     return docs.join(per_row, "row", "left")
 
