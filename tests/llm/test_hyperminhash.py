@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from gridmargin.llm import hyperminhash as module
+from gridmargin.llm.hyperminhash import SHORT, chance_equal, classes_of, estimated, near_duplicate_groups, registers, shingle_set
+from gridmargin.llm.minimisers import mix
+from gridmargin.llm.simhash import shingles_of, words_of
+from tests.llm.samples import components, documents, odd_documents, sentence
+
+
+def slow_groups(rows, width=4):
+    sets = [frozenset(shingles_of(words_of(t), width)) for _, t, *_ in rows]
+    kinds = [s for s in dict.fromkeys(sets) if s]
+    links = [
+        (x, y) for x, y in combinations(range(len(kinds)), 2)
+        if 100 * len(kinds[x] & kinds[y]) >= 80 * len(kinds[x] | kinds[y])
+    ]
+    group = components(range(len(kinds)), links)
+    of = {s: group[k] for k, s in enumerate(kinds)}
+    least: dict = {}
+    for (i, *_), s in zip(rows, sets, strict=True):
+        if s and i is not None:
+            least[of[s]] = min(i, least.get(of[s], i))
+    out = []
+    for (i, *_), s in zip(rows, sets, strict=True):
+        root = least.get(of[s]) if s else i
+        out.append((i, len(s), root, i == root))
+    return sorted(out, key=str)
+
+
+def family(seed):
+    """Near copies of all lengths and distances, template texts, and texts in a chain."""
+    rng = random.Random(seed)
+    texts = []
+    for n in (1, 2, 3, 4, 7, 8, 9, 12, 20, 60, 200, 900):
+        base = sentence(rng, n).split()
+        for changes in (0, 1, 2, 5, 9, 13):
+            words = list(base)
+            for _ in range(min(changes, n)):
+                words[rng.randrange(n)] = sentence(rng, 1) + "x"
+            texts.append(" ".join(words))
+        texts.append(" ".join([*base, *sentence(rng, max(1, n // 5)).split()]))
+    chain = sentence(rng, 150).split()
+    for _ in range(12):
+        chain = chain[8:] + sentence(rng, 8).split()
+        texts.append(" ".join(chain))
+    template = sentence(rng, 100)
+    texts += [template + " " + sentence(rng, 60) for _ in range(60)]
+    texts += [t + " " + sentence(rng, 3) for t in texts[-60::6]]
+    rng.shuffle(texts)
+    return [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("crowd", [512, 3])
+def test_groups_against_brute_force(spark, monkeypatch, crowd):
+    monkeypatch.setattr(module, "_CROWD", crowd)
+    rows = family(6) + [(-1 if r[0] == 3 else r[0] and r[0] + 1000, *r[1:]) for r in odd_documents()]
+    got = near_duplicate_groups(documents(spark, rows))
+    assert got.columns == ["doc_id", "n_shingles", "component_id", "kept"]
+    assert sorted(map(tuple, got.collect()), key=str) == slow_groups(rows)
+
+
+def test_no_documents(spark):
+    assert near_duplicate_groups(documents(spark, [])).count() == 0
+    got = near_duplicate_groups(documents(spark, [(5, None, "en", "s", 0), (6, " ", "en", "s", 0)])).collect()
+    assert sorted(map(tuple, got)) == [(5, 0, 5, True), (6, 0, 6, True)]
+
+
+def test_classes_meet():
+    for n in range(1, 3000):
+        for m in range(-(-4 * n // 5), n + 1):
+            assert set(classes_of(n, 0.8)) & set(classes_of(m, 0.8))
+
+
+def test_estimate_follows_the_similarity():
+    rng = np.random.default_rng(7)
+    for n in (40, 700, 5000):
+        pool = np.unique(mix(rng.integers(0, 1 << 63, 2 * n).astype(np.uint64)))
+        for shared in (0, n // 2, n - n // 9, n):
+            a, b = pool[:n], np.concatenate([pool[:shared], pool[n : 2 * n - shared]])
+            kind = classes_of(n, 0.8)[0]
+            times = max(1, -(-8 * SHORT.buckets // 4**kind))
+            x, y = (registers(np.sort(s), kind, SHORT.buckets)[None, :] for s in (a, b))
+            thrown = np.array([n * times])
+            truth = shared / (2 * n - shared)
+            assert abs(estimated(x, y, thrown, thrown)[0] - truth) < 0.14
+            assert 0 < chance_equal(thrown, thrown, SHORT.buckets)[0] < 1e-3
+
+
+def test_shingles_of_short_texts():
+    assert len(shingle_set("One two", 4)) == 1 == len(shingle_set("x", 4))
+    assert len(shingle_set("a b c d a b c d a", 4)) == 4 and len(shingle_set(" ", 4)) == len(shingle_set(None, 4)) == 0
