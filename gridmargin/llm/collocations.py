@@ -31,9 +31,9 @@ STOP = b"."
 _SPLIT = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\tABCDEFGHIJKLMNOPQRSTUVWXYZ", b".......... abcdefghijklmnopqrstuvwxyz")
 NO_LANGUAGE = "und"
 
-BUCKET_WORDS = 4_000_000  # suffixes of a bucket, on average at most
+BUCKET_WORDS = 2_000_000  # suffixes of a bucket, on average at most
 HOT_WORDS = 4_096  # the most words that can be hot
-_CHUNK_WORDS = 4_000_000  # tokens that a task gathers before it writes
+_CHUNK_WORDS = 2_000_000  # tokens that a task gathers before it writes
 _FLUSH = 500_000  # entries of a task's counter
 _hash = partial(xxhash.xxh64_intdigest, seed=11)
 
@@ -111,24 +111,27 @@ def unpacked(words: bytes, data: bytes, depth: int) -> tuple[list[bytes], np.nda
     return expand(words).split(b" "), columns[:depth], columns[depth]
 
 
+def _numbers() -> defaultdict[bytes, int]:
+    """Numbers of words in the order of their first use, the full stop's is 0."""
+    ids: defaultdict[bytes, int] = defaultdict()
+    ids.default_factory = ids.__len__
+    ids[STOP]
+    return ids
+
+
 def _routed(
     batches: Iterator[pd.DataFrame], hot: dict[str, set[bytes]], buckets: int, depth: int
 ) -> Iterator[pd.DataFrame]:
     """Rows of one bucket's suffixes (lang, bucket, words, data), and of hot phrases (phrase, f)."""
     columns = ["lang", "bucket", "words", "data", "phrase", "f"]
-    held: dict[str, list[list[bytes]]] = defaultdict(list)
+    held: dict[str, tuple[defaultdict[bytes, int], list[np.ndarray]]] = {}
     size = 0
 
     def written() -> Iterator[pd.DataFrame]:
         for lang in list(held):
-            ids: defaultdict[bytes, int] = defaultdict()
-            ids.default_factory = ids.__len__
-            ids[STOP]  # has the number 0
-            number = ids.__getitem__
-            texts = held.pop(lang)
-            flat = np.concatenate([np.fromiter(map(number, [*t, STOP]), np.int64, len(t) + 1) for t in texts])
+            ids, texts = held.pop(lang)
             words = list(ids)
-            rows, counts = distinct_rows(suffixes(flat, depth), len(words))
+            rows, counts = distinct_rows(suffixes(np.concatenate(texts), depth), len(words))
             is_hot = np.fromiter((w in hot.get(lang, ()) for w in words), bool, len(words))
             is_hot[0] = True  # what ends a suffix doesn't end a run of hot words in it
             route = np.fromiter(map(_hash, words), np.uint64, len(words))
@@ -156,8 +159,13 @@ def _routed(
 
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"], strict=True):
-            held[lang].append(tokens_of(text))
-            size += len(held[lang][-1])
+            if lang not in held:
+                held[lang] = _numbers(), []
+            ids, texts = held[lang]
+            tokens = tokens_of(text)
+            tokens.append(STOP)
+            texts.append(np.fromiter(map(ids.__getitem__, tokens), np.int32, len(tokens)))
+            size += len(tokens)
             if size >= _CHUNK_WORDS:
                 yield from written()
                 size = 0
@@ -209,8 +217,7 @@ def _bucket_counts(
 ) -> pd.DataFrame:
     """The frequent phrases of one bucket, those of hot words alone left out."""
     lang = key[0]
-    ids: defaultdict[bytes, int] = defaultdict()
-    ids.default_factory = lambda: len(ids) + 1
+    ids = _numbers()
     keys, weights = [], []
     for words, data in zip(rows["words"], rows["data"], strict=True):
         own, columns, counts = unpacked(words, data, depth)
@@ -219,7 +226,7 @@ def _bucket_counts(
         keys.append(number[columns].astype(np.int32))
         weights.append(counts)
     joined, weight = np.concatenate(keys, axis=1), np.concatenate(weights)
-    words = [b"", *ids]
+    words = list(ids)
     mine = hot.get(lang, set())
     out = []
     for length, pointers, counts in frequent_prefixes(joined, weight, least):
