@@ -30,7 +30,7 @@ from gridmargin.llm.simhash import LOWER
 MANTISSA = 10
 EMPTY = 65_535  # no register of 57 counts of zeros and ten bits reaches it
 _THROWN = 8  # shingles for each bucket, at least
-_CROWD = 512  # sets that may share a band value before longer bands take over
+_CROWD = 16  # sets that may share a band value before longer bands take over
 _GROWTH = 4  # by so much more partners are asked in each round
 _SLICE = 500
 _WORDS = Windows(1, 1, True)
@@ -64,8 +64,9 @@ def shingle_set(text: str | None, width: int) -> np.ndarray:
     return np.unique(total)
 
 
-def set_digest(shingles: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(shingles.tobytes())
+def set_id(shingles: np.ndarray) -> int:
+    """64 bits that stand for a set, signed; two of n sets share them with chance n**2 / 2**65."""
+    return xxhash.xxh3_64_intdigest(shingles.tobytes()) - (1 << 63)
 
 
 def classes_of(size: int, least: float) -> list[int]:
@@ -127,7 +128,7 @@ def _sketched(batches: Iterator[pd.DataFrame], width: int, least: float) -> Iter
             for text in part["text"]:
                 shingles = shingle_set(text, width)
                 sizes.append(len(shingles))
-                ids.append(set_digest(shingles) if len(shingles) else None)
+                ids.append(set_id(shingles) if len(shingles) else 0)
                 kinds = classes_of(len(shingles), least) if len(shingles) else []
                 sketches.append([registers(shingles, k, SHORT.buckets).tobytes() for k in kinds])
             yield pd.DataFrame(
@@ -141,34 +142,45 @@ def _short_keys(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.Da
         for at in range(0, len(batch), _SLICE):
             part = batch.iloc[at : at + _SLICE]
             keys, ids = [], []
-            for set_id, size, sketches in zip(part["set_id"], part["size"], part["sketches"], strict=True):
+            for own, size, sketches in zip(part["set_id"], part["size"], part["sketches"], strict=True):
                 for kind, sketch in zip(classes_of(size, least), sketches, strict=True):
                     keys.append(band_keys(np.frombuffer(sketch, np.uint16), kind, SHORT))
-                    ids += [set_id] * SHORT.bands
+                    ids.append(own)
             if keys:
-                yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "set_id": ids})
+                yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "set_id": np.repeat(ids, SHORT.bands)})
 
 
 def _long_keys(batches: Iterator[pd.DataFrame], width: int, least: float) -> Iterator[pd.DataFrame]:
     """The same for the long bands, from the texts."""
     for batch in batches:
-        for set_id, text in zip(batch["set_id"], batch["text"], strict=True):
+        for own, text in zip(batch["set_id"], batch["text"], strict=True):
             shingles = shingle_set(text, width)
             for kind in classes_of(len(shingles), least):
                 keys = band_keys(registers(shingles, kind, LONG.buckets), kind, LONG)
-                yield pd.DataFrame({"key": keys.view(np.int64), "set_id": [set_id] * LONG.bands})
+                yield pd.DataFrame({"key": keys.view(np.int64), "set_id": np.full(LONG.bands, own)})
 
 
 def _shared(bands: DataFrame, name: str) -> DataFrame:
     """(key, set_id, m): the distinct rows of ``bands`` whose key m > 1 sets share."""
-    short = F.xxhash64("set_id")
     several = stored(
-        bands.groupBy("key").agg(F.min(short).alias("a"), F.max(short).alias("b")).filter("a <> b").select("key"),
+        bands.groupBy("key").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b")).filter("a <> b").select("key"),
         f"{name}-keys",
     )
     held = stored(bands.join(several, "key", "left_semi").distinct(), f"{name}-members")
     counts = stored(held.groupBy("key").agg(F.count(F.lit(1)).alias("m")), f"{name}-counts")
-    return stored(held.join(counts, "key").filter("m > 1"), f"{name}-bands")
+    return stored(held.join(counts, "key"), f"{name}-bands")
+
+
+def _hubs(bands: DataFrame) -> DataFrame:
+    """(key, other): of each key the set that shares most band values with others.
+
+    An original shares more of them with its copies than those do with each other.
+    """
+    met = stored(bands.groupBy("set_id").agg(F.least(F.sum("m"), F.lit((1 << 23) - 1)).alias("met")), "met")
+    order = F.shiftleft("met", 40).bitwiseOR(F.shiftrightunsigned(F.xxhash64("set_id"), 24))
+    ranked = stored(bands.join(met, "set_id").select("key", "set_id", order.alias("order")), "ranked-bands")
+    most = stored(ranked.groupBy("key").agg(F.max("order").alias("order")), "hubs")
+    return ranked.join(most, ["key", "order"]).select("key", F.col("set_id").alias("other"))
 
 
 def _likely(batches: Iterator[pd.DataFrame], least: float) -> Iterator[pd.DataFrame]:
@@ -205,16 +217,16 @@ def _verified(batches: Iterator[pd.DataFrame], width: int, percent: int) -> Iter
 def similar_links(bands: DataFrame, sketches: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) that connect all sets that share a band value and are similar.
 
-    In each round the members of every value are asked against some leaders, more each time,
-    chosen by a hash of the set; a value is done once links connect its members or all of them
-    have been leaders. So a group of copies is settled by few pairs, and a pair stays unasked
-    only if its ends are connected.
+    In the first round the members of every value are asked against its hub, in the next ones
+    against some leaders, more each time, chosen by a hash of the set; a value is done once
+    links connect its members or all of them have been leaders. So a group of copies is settled
+    by few pairs, and a pair stays unasked only if its ends are connected.
     """
     least = percent / 100
-    pairs_schema = "a binary, b binary"
+    pairs_schema = "a long, b long"
     none = sketches.select(F.col("set_id").alias("a"), F.col("set_id").alias("b")).limit(0)
     links, asked, roots = none, none, none.toDF("node", "root")
-    leaders, waiting = _GROWTH, bands
+    leaders, waiting = 1, bands
     place = F.pmod(F.xxhash64("set_id"), F.lit(1 << 20)) / (1 << 20)
     side = sketches.select("set_id", "size", "sketches")
     while True:
@@ -224,9 +236,12 @@ def similar_links(bands: DataFrame, sketches: DataFrame, texts: DataFrame, width
             ),
             "rooted-bands",
         )
-        leading = rooted.filter(place * F.col("m") < leaders).select(
-            "key", F.col("set_id").alias("other"), F.col("root").alias("other_root")
-        )
+        if leaders == 1:
+            leading = _hubs(bands).withColumn("other_root", F.col("other"))
+        else:
+            leading = rooted.filter(place * F.col("m") < leaders).select(
+                "key", F.col("set_id").alias("other"), F.col("root").alias("other_root")
+            )
         new = checkpointed(
             rooted.join(leading, "key")
             .filter("root <> other_root")
@@ -251,7 +266,7 @@ def similar_links(bands: DataFrame, sketches: DataFrame, texts: DataFrame, width
             return links
         roots = connected_components(links)
         ends = open_.join(roots, open_.set_id == roots.node, "left").select(
-            "key", F.xxhash64(F.coalesce(roots.root, "set_id")).alias("root")
+            "key", F.coalesce(roots.root, "set_id").alias("root")
         )
         mixed = stored(
             ends.groupBy("key").agg(F.min("root").alias("c"), F.max("root").alias("d")).filter("c <> d").select("key"),
@@ -277,7 +292,7 @@ def near_duplicate_groups(docs: DataFrame, width: int = 4, percent: int = 80) ->
     rows = stored(
         keyed.mapInPandas(
             lambda batches: _sketched(batches, width, least),
-            "doc_id long, row long, size long, set_id binary, sketches array<binary>",
+            "doc_id long, row long, size long, set_id long, sketches array<binary>",
         ),
         "sketches",
     )
@@ -285,7 +300,7 @@ def near_duplicate_groups(docs: DataFrame, width: int = 4, percent: int = 80) ->
     sets = stored(full.groupBy("set_id").agg(F.min("doc_id").alias("least_id"), F.min("row").alias("row")), "sets")
     bands = _shared(
         full.select("set_id", "size", "sketches").mapInPandas(
-            lambda batches: _short_keys(batches, least), "key long, set_id binary"
+            lambda batches: _short_keys(batches, least), "key long, set_id long"
         ),
         "short",
     )
@@ -307,7 +322,7 @@ def near_duplicate_groups(docs: DataFrame, width: int = 4, percent: int = 80) ->
     crowded = bands.filter(F.col("m") > _CROWD).select("set_id").distinct()
     longer = _shared(
         texts.join(crowded, "set_id", "left_semi").mapInPandas(
-            lambda batches: _long_keys(batches, width, least), "key long, set_id binary"
+            lambda batches: _long_keys(batches, width, least), "key long, set_id long"
         ),
         "long",
     )
