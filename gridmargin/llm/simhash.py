@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from gridmargin.llm.common import checkpointed, connected_components, table
+from gridmargin.llm.common import checkpointed, connected_components, stored, table
 
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))  # A-Z to a-z
 _hash = partial(xxhash.xxh64_intdigest, seed=42)
@@ -92,6 +92,17 @@ def linked_fingerprints(fingerprints: DataFrame, radius: int = 2) -> DataFrame:
     )
 
 
+def _components(prints: DataFrame, radius: int, first: Column) -> DataFrame:
+    """(fp, first): of every fingerprint the least ``first`` among the rows reachable."""
+    classes = prints.groupBy("fp").agg(F.min(first).alias("least"))
+    roots = connected_components(linked_fingerprints(classes.select("fp"), radius))
+    rooted = classes.join(roots, classes.fp == roots.node, "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    names = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    return rooted.join(names, "root").select("fp", "first")
+
+
 def simhash_groups(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
     """(doc_id, fp, component_id) per row of ``docs``.
 
@@ -101,16 +112,35 @@ def simhash_groups(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFram
     unless it has no other id. Other columns of ``docs`` are ignored.
     """
     prints = checkpointed(docs.select("doc_id", fingerprint(F.col("text"), width).alias("fp")))
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("least_id"))
-    roots = connected_components(linked_fingerprints(classes.select("fp"), radius))
-    rooted = classes.join(roots, classes.fp == roots.node, "left").select(
-        "fp", "least_id", F.coalesce("root", "fp").alias("root")
-    )
-    names = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id")
+    named = _components(prints, radius, F.col("doc_id")).withColumnRenamed("first", "component_id")
     return prints.join(named, "fp", "left").select("doc_id", "fp", "component_id")
 
 
+def without_near_copies(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
+    """Rows of ``docs``, all columns, of which one of each group of `simhash_groups` stays.
+
+    It is the one with the smallest doc_id (null last); of several texts under that id the one
+    with the smaller hash, of rows that repeat one. Null and empty texts are one group.
+    """
+    key = F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")))
+    prints = stored(
+        docs.select(
+            F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").cast("long"), key.alias("row")).alias("at"),
+            fingerprint(F.col("text"), width).alias("fp"),
+        ),
+        "fingerprints",
+    )
+    kept = stored(_components(prints, radius, F.col("at")), "kept-copies")
+    rows = prints.join(kept, "fp", "left").select("at.row", (F.col("at") == F.col("first")).alias("kept"))
+    # The rows that go, and those that occur more than once, are fewer than those that stay.
+    counted = rows.groupBy("row").agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    special = stored(counted.filter("not kept or n > 1").select("row", "kept"), "near-copies")
+    numbered = docs.select(key.alias("row"), F.struct(*docs.columns).alias("doc"))
+    once = numbered.join(special, "row", "left_anti")
+    repeated = numbered.join(special.filter("kept"), "row", "left_semi").dropDuplicates(["row"])
+    return once.unionAll(repeated).select("doc.*")
+
+
 def op3_simhash_ball(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document; three-word shingles, two bits."""
     groups = simhash_groups(table(spark, sf_dir, "documents"), width=3, radius=2)

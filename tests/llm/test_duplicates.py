@@ -11,13 +11,12 @@ import xxhash
 
 from gridmargin.llm import minimisers, superkmers
 from gridmargin.llm.common import connected_components
-from gridmargin.llm.near_copies import near_copy_groups, without_near_copies
 from gridmargin.llm.simhash import (
     linked_fingerprints,
     shingles_of,
     simhash,
     simhash_groups,
-    words_of,
+    without_near_copies,
 )
 from gridmargin.llm.suffixes import (
     remove_repeated_bytes,
@@ -169,25 +168,20 @@ def test_runs_do_not_depend_on_chunks(monkeypatch):
         assert len(whole) == sum(max(0, windows.units(d) - windows.k + 1) for d in docs)
 
 
-def test_near_copies(spark):
-    got = near_copy_groups(documents(spark)).collect()
-    sets = {r.row: None for r in got}
-    group = {}
-    for i, t, *_ in odd_documents():
-        group[i, t] = frozenset(shingles_of(words_of(t), 5))
-    texts = list(dict.fromkeys(group.values()))
-
-    def alike(a, b):
-        return a == b or len(a & b) >= 0.8 * len(a | b) > 0
-
-    number = components(range(len(texts)), [(x, y) for x, y in combinations(range(len(texts)), 2) if alike(texts[x], texts[y])])
-    assert len({r.group for r in got}) == len(set(number.values()))
-    assert len(sets) == len(set(group))
-    kept = without_near_copies(documents(spark))
-    assert kept.columns == documents(spark).columns
-    ids = [r.doc_id for r in kept.collect()]
-    assert 0 in ids and not {1, 2, 13} & set(ids) and ids.count(8) == 1
-    assert len(ids) == len(set(number.values()))
+def test_one_of_each_group_stays(spark):
+    """All columns stay; the rows that stay are those that name their group."""
+    docs = documents(spark)
+    kept = without_near_copies(docs)
+    assert kept.columns == docs.columns and kept.schema == docs.schema
+    rows = kept.collect()
+    named = {r.component_id for r in simhash_groups(docs).collect()}
+    assert sorted((r.doc_id for r in rows), key=str) == sorted(named, key=str)
+    texts = {(i, t) for i, t, *_ in odd_documents()}
+    assert {(r.doc_id, r.text) for r in rows} <= texts and rows[0].n == "y"
+    ids = [r.doc_id for r in rows]
+    assert 0 in ids and not {1, 13} & set(ids) and ids.count(8) == 1 and ids.count(3) == 1
+    lost = documents(spark, [(None, "a b c d", None, None, 1), (None, "a b c d", None, None, 1), (7, "a b c d", None, None, 1)])
+    assert [r.doc_id for r in without_near_copies(lost).collect()] == [7]
 
 
 def test_no_documents(spark):
