@@ -11,9 +11,9 @@ from pyspark.sql.functions import pandas_udf
 from gridmargin.llm.common import stored, table
 from gridmargin.llm.minimisers import keyed
 from gridmargin.llm.mixing import mix_documents
-from gridmargin.llm.near_copies import without_near_copies
 from gridmargin.llm.packing import default_tokenizer, pack_power_of_two
 from gridmargin.llm.quality import CUTOFF, score_quality, train_ranking
+from gridmargin.llm.simhash import without_near_copies
 from gridmargin.llm.suffixes import repeated_bytes
 from gridmargin.llm.superkmers import spans_of, with_windows
 
@@ -24,19 +24,19 @@ REPEAT_BYTES = 200
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the cutoff."""
     ranking = train_ranking(docs, table(spark, sf_dir, "labels"))
-    scored = score_quality(docs, ranking, "_quality")
-    return scored.filter(F.col("_quality") >= CUTOFF).select(*docs.columns)
+    whole = docs.select("text", F.struct(*docs.columns).alias("doc"))
+    return score_quality(whole, ranking, "score").filter(F.col("score") >= CUTOFF).select("doc.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, five-word shingles, similarity 0.8."""
-    return without_near_copies(docs, width=5, least=0.8)
+    """One document of each group of near copies, by SimHash of three-word shingles, two bits."""
+    return without_near_copies(docs, width=3, radius=2)
 
 
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without substrings of 200 bytes that start anywhere else, too.
+    """Texts without substrings of 200 bytes that start anywhere else, too, as `op8` has it.
 
-    Only whole characters go. A document that had text and keeps none goes as well; n_chars
+    No occurrence stays, the first neither: what so many texts share is boilerplate. Only whole characters go. A document that had text and keeps none goes as well; n_chars
     is that of the text left. Null texts stay null.
     """
 
