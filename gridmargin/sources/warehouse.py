@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -11,7 +12,8 @@ from gridmargin.functions import run_date_column
 from gridmargin.operators.quality import null_gate_counts, raise_on_null_gate
 from gridmargin.schemas import DEMAND, GENERATION, INTERCHANGE, Dataset
 from gridmargin.sources.curated import curated_path
-from gridmargin.sources.storage import day_path, has_files, replace_directory
+from gridmargin.sources.storage import day_path, has_files
+from gridmargin.sources.versions import read_versions, replace_version
 
 _PARQUET_FILES = "*.parquet"
 
@@ -41,8 +43,8 @@ def load_day(
     """Load one curated day, replacing the table's partition for that day.
 
     Only ``*.parquet`` files count. A day without files is loaded as empty, which clears
-    the partition. Replacing the partition's directory does that; dynamic partition
-    overwrite would keep the old rows of an empty day.
+    the partition. A new version of the partition does that; dynamic partition overwrite would
+    keep the old rows of an empty day. Readers see the old day or the new one at any time.
     """
     if run_date is None:
         raise ValueError("run_date must not be null")
@@ -56,7 +58,7 @@ def load_day(
     rows = warehouse_columns(curated, dataset, day).observe(
         nulls, *null_gate_counts(dataset.required_in_warehouse)
     )
-    replace_directory(
+    replace_version(
         spark,
         day_path(warehouse_base, dataset.table, day),
         lambda staging: rows.drop("dt").sortWithinPartitions(*dataset.key).write.parquet(staging),
@@ -83,15 +85,15 @@ def load_raw_generation_by_fuel(
     return load_day(spark, curated_base, warehouse_base, GENERATION, run_date)
 
 
-def read_warehouse(spark: SparkSession, warehouse_base: str, dataset: Dataset) -> DataFrame:
+def read_warehouse(
+    spark: SparkSession,
+    warehouse_base: str,
+    dataset: Dataset,
+    days: Iterable[date | str] | None = None,
+) -> DataFrame:
     """A RAW table under its declared schema; a filter on ``dt`` prunes directories.
 
-    A table no day was loaded into yet is empty.
+    A table no day was loaded into yet is empty. With ``days`` only their folders are listed.
     """
-    if not has_files(spark, f"{warehouse_base.rstrip('/')}/{dataset.table}", "dt=*"):
-        return spark.createDataFrame([], dataset.warehouse)
-    return (
-        spark.read.schema(dataset.warehouse)
-        .option("pathGlobFilter", _PARQUET_FILES)
-        .parquet(f"{warehouse_base.rstrip('/')}/{dataset.table}")
-    )
+    table = f"{warehouse_base.rstrip('/')}/{dataset.table}"
+    return read_versions(spark, table, dataset.warehouse, days=days)
