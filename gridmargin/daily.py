@@ -16,18 +16,16 @@ from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import DataFrame, Row, SparkSession
 
-from gridmargin.operators.quality import (
-    DataValidationError,
-    quality_report,
-    warehouse_key_repeats,
-)
+from gridmargin.operators.quality import DataValidationError
 from gridmargin.operators.totals import PER_RESPONDENT, POOLED
-from gridmargin.plans.views import register_views
+from gridmargin.plans.stored import MARTS, Places, refresh, stored_report
+from gridmargin.plans.views import load_mart, register_views
 from gridmargin.schemas import DATASETS, Dataset
 from gridmargin.session import get_session
 from gridmargin.sources.curated import curate_day
 from gridmargin.sources.landing import land, read_raw, select_facets
-from gridmargin.sources.warehouse import load_day, read_warehouse
+from gridmargin.sources.storage import has_files
+from gridmargin.sources.warehouse import load_day
 
 log = logging.getLogger("gridmargin.daily")
 
@@ -122,15 +120,25 @@ def load_all(spark: SparkSession, curated: str, warehouse: str, run_date: date)
 
 
 def model(
-    spark: SparkSession, warehouse: str, total_keys: Sequence[str] = POOLED
+    spark: SparkSession,
+    base: str,
+    warehouse: str,
+    run_date: date,
+    total_keys: Sequence[str] = POOLED,
 ) -> list[Row]:
-    """Register the models and check them; returns the outcome of all checks.
+    """Bring the stored marts up to a day, register all models, and check them.
 
-    Where warehouse keys repeat, the models take the form whose hot keys can be split.
+    Returns the outcome of all checks, merged from the counts of every day; only days that
+    share periods with this one are read. A warehouse without counts is taken in whole.
     """
-    raw = {d.table: read_warehouse(spark, warehouse, d) for d in DATASETS.values()}
-    repeats = warehouse_key_repeats(raw).filter("failures > 0").count() > 0
-    checks = quality_report(register_views(spark, warehouse, total_keys, repeats)).collect()
+    counted = has_files(spark, Places(base, tuple(total_keys)).counts("marts"), "report_date=*")
+    dates = refresh(spark, base, warehouse, [run_date] if counted else None, total_keys)
+    log.info("marts replaced for %s", ", ".join(dates))
+    frames = register_views(spark, warehouse, total_keys)
+    for name in MARTS:
+        frames[name] = load_mart(spark, name, base=base, total_keys=total_keys)
+        frames[name].createOrReplaceTempView(name)
+    checks = stored_report(spark, base, total_keys).collect()
     for check in checks:
         if check.failures:
             log.warning("%s on %s (%s): %d", check.check, check.table, check.columns, check.failures)
@@ -154,7 +162,7 @@ def run_day(
     report = RunReport(run_date)
 
     def build() -> list[str]:
-        report.quality = model(spark, where["warehouse"], total_keys)
+        report.quality = model(spark, base, where["warehouse"], run_date, total_keys)
         return []
 
     stages: list[tuple[str, Callable[[], list[str]]]] = [

@@ -37,14 +37,15 @@ def demand_vs_generation(
     return with_totals(joined, total_keys, hourly_totals(generation, demand, total_keys), repeats)
 
 
-def interchange_balance(interchange: DataFrame) -> DataFrame:
-    """Net interchange with the direction of the flow."""
+def interchange_balance(interchange: DataFrame, *more: str) -> DataFrame:
+    """Net interchange with the direction of the flow, and ``more`` columns."""
     return interchange.select(
         "period",
         "respondent",
         "interchange_mwh",
         "interchange_units",
         flow_direction(F.col("interchange_mwh")).alias("flow_direction"),
+        *more,
     )
 
 

@@ -55,7 +55,21 @@ def register_views(
     return frames
 
 
-def load_mart(spark: SparkSession, name: str, cached: bool = False) -> DataFrame:
-    """A mart by name; ``cached`` keeps it for a series of report queries."""
-    mart = spark.table(name)
+def load_mart(
+    spark: SparkSession,
+    name: str,
+    cached: bool = False,
+    base: str | None = None,
+    total_keys: Sequence[str] = POOLED,
+) -> DataFrame:
+    """A mart by name; ``cached`` keeps it for a series of report queries.
+
+    With ``base`` the stored mart under that root, in any session; else the session's view.
+    """
+    if base is None:
+        mart = spark.table(name)
+    else:
+        from gridmargin.plans.stored import load_stored_mart
+
+        mart = load_stored_mart(spark, base, name, total_keys)
     return mart.cache() if cached else mart

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmargin.plans.stored import refresh, replace_parts
 from gridmargin.schemas import DATASETS
 from gridmargin.session import scratch_dir
 from gridmargin.sources.curated import transform
@@ -89,3 +90,34 @@ def raw_tables(spark: SparkSession, sf_dir: str, trade: bool = False) -> dict[st
     return {
         spec.table: warehouse(spark, sf_dir, name, trade) for name, spec in DATASETS.items()
     }
+
+
+def chain(spark: SparkSession, sf_dir: str) -> str:
+    """Root of marts that came all the way: landing, curated, warehouse."""
+
+    def write(path: str) -> None:
+        for name, spec in DATASETS.items():
+            rows = warehouse_columns(curated(spark, sf_dir, name), spec, F.col("ingestion_date"))
+            write_days(rows, f"{path}/warehouse/{spec.table}", "dt", *spec.key)
+        refresh(spark, path, f"{path}/warehouse")
+
+    return _once(spark, sf_dir, "chain", write)
+
+
+def reloaded(spark: SparkSession, sf_dir: str) -> str:
+    """Root of marts whose every second day was first loaded wrong and then again."""
+    tables = raw_tables(spark, sf_dir)
+    second = F.dayofmonth("dt") % 2 == 0
+
+    def write(path: str) -> None:
+        for spec in DATASETS.values():
+            wrong = tables[spec.table].withColumn("value", F.when(second, F.col("value") * 3 + 1).otherwise(F.col("value")))
+            late = wrong.filter(~second | (F.hour("period") < 20))
+            write_days(late, f"{path}/warehouse/{spec.table}", "dt", *spec.key)
+        refresh(spark, path, f"{path}/warehouse")
+        days = {str(r.dt) for t in tables.values() for r in t.filter(second).select("dt").distinct().collect()}
+        for spec in DATASETS.values():
+            replace_parts(tables[spec.table], f"{path}/warehouse/{spec.table}", "dt", days, *spec.key)
+        refresh(spark, path, f"{path}/warehouse", days)
+
+    return _once(spark, sf_dir, "reloaded", write)

@@ -426,3 +426,26 @@ group by period, respondent having count(*) > 1""",
         resent=True,
     ),
 }
+
+# The stored forms give what the direct ones give.
+ORACLE |= {
+    "chain_demand_vs_generation": ORACLE["mart_demand_vs_generation"],
+    "chain_interchange_balance": ORACLE["mart_interchange_balance"],
+    "chain_grid_reliability": ORACLE["mart_grid_reliability"],
+    "chain_quality_report": ORACLE["dq_quality_report"],
+    "chain_latest_reliability": _with(
+        "select * from mart_grid_reliability order by period desc, respondent limit 1"
+    ),
+    "reloaded_demand_vs_generation": ORACLE["mart_demand_vs_generation"],
+    "reloaded_grid_reliability": ORACLE["mart_grid_reliability"],
+    "reloaded_quality_report": ORACLE["dq_quality_report"],
+    "merged_row_counts": ORACLE["loaded_row_counts"],
+    "merged_rows_per_fuel": ORACLE["generation_rows_per_fuel"],
+    "merged_status_distribution": _with(
+        _distribution(
+            "mart_grid_reliability", "grid_status",
+            ["surplus", "adequate", "tight", "deficit", "unknown"],
+        )
+    ),
+    "merged_flow_distribution": ORACLE["flow_direction_distribution"],
+}

@@ -37,10 +37,15 @@ from gridmargin.operators.quality import (
     unique_report,
 )
 from gridmargin.operators.totals import PER_RESPONDENT, POOLED
-from gridmargin.plans import reports
+from gridmargin.operators.state import (
+    merged_domain_counts,
+    merged_row_counts,
+    merged_rows_per_fuel,
+)
+from gridmargin.plans import reports, stored
 from gridmargin.plans.marts import demand_vs_generation, grid_reliability_from_staging
 from gridmargin.plans.staging import stg_demand, stg_generation_by_fuel, stg_interchange
-from gridmargin.plans.views import models
+from gridmargin.plans.views import load_mart, models
 from gridmargin.schemas import DATASETS, DEMAND, GENERATION, INTERCHANGE
 from gridmargin.sources.curated import parsed_columns
 from gridmargin.sources.landing import extract
@@ -480,3 +485,80 @@ def dq_unique_combination_resent_demand(spark, sf_dir):
     return unique_combination(
         _resent(stg_demand_query(spark, sf_dir)), MODEL_UNIQUE["stg_demand"]
     )
+
+
+# Stored marts and counts, as the daily run leaves them
+
+
+@query("chain_demand_vs_generation")
+def chain_demand_vs_generation(spark, sf_dir):
+    return load_mart(spark, "mart_demand_vs_generation", base=layers.chain(spark, sf_dir))
+
+
+@query("chain_interchange_balance")
+def chain_interchange_balance(spark, sf_dir):
+    return load_mart(spark, "mart_interchange_balance", base=layers.chain(spark, sf_dir))
+
+
+@query("chain_grid_reliability")
+def chain_grid_reliability(spark, sf_dir):
+    return load_mart(spark, "mart_grid_reliability", base=layers.chain(spark, sf_dir))
+
+
+@query("chain_quality_report")
+def chain_quality_report(spark, sf_dir):
+    return stored.stored_report(spark, layers.chain(spark, sf_dir))
+
+
+@query("chain_latest_reliability")
+def chain_latest_reliability(spark, sf_dir):
+    return stored.stored_latest(spark, layers.chain(spark, sf_dir))
+
+
+@query("reloaded_demand_vs_generation")
+def reloaded_demand_vs_generation(spark, sf_dir):
+    return load_mart(spark, "mart_demand_vs_generation", base=layers.reloaded(spark, sf_dir))
+
+
+@query("reloaded_grid_reliability")
+def reloaded_grid_reliability(spark, sf_dir):
+    return load_mart(spark, "mart_grid_reliability", base=layers.reloaded(spark, sf_dir))
+
+
+@query("reloaded_quality_report")
+def reloaded_quality_report(spark, sf_dir):
+    return stored.stored_report(spark, layers.reloaded(spark, sf_dir))
+
+
+def _loaded_counts(spark, sf_dir):
+    places = stored.Places(layers.reloaded(spark, sf_dir), POOLED)
+    return stored.read_counts(spark, places.loaded, "dt")
+
+
+def _mart_counts(spark, sf_dir):
+    places = stored.Places(layers.reloaded(spark, sf_dir), POOLED)
+    return stored.read_counts(spark, places.counts("marts"), "report_date")
+
+
+@query("merged_row_counts")
+def merged_row_counts_query(spark, sf_dir):
+    return merged_row_counts(_loaded_counts(spark, sf_dir), [d.table for d in DATASETS.values()])
+
+
+@query("merged_rows_per_fuel")
+def merged_rows_per_fuel_query(spark, sf_dir):
+    return merged_rows_per_fuel(_loaded_counts(spark, sf_dir))
+
+
+@query("merged_status_distribution")
+def merged_status_distribution(spark, sf_dir):
+    return merged_domain_counts(
+        _mart_counts(spark, sf_dir), "mart_grid_reliability", reports.STATUS_ORDER
+    )
+
+
+@query("merged_flow_distribution")
+def merged_flow_distribution(spark, sf_dir):
+    return merged_domain_counts(
+        _mart_counts(spark, sf_dir), "mart_interchange_balance", reports.FLOW_ORDER
+    )
