@@ -17,7 +17,7 @@ HEAD = HEAD_CLASSES * CLASS_SIZE
 INPUTS, CLASSES = HEAD + TAIL_CLASSES, HEAD_CLASSES + TAIL_CLASSES
 EMBEDDED, HIDDEN = 24, 32
 WINDOW = 32
-MOST_PASSES = 10
+LEAST_LANES, SAME_LANES = 16, 16  # batches grow from so many documents, doubled after so many
 _NEVER = -1e9
 _SHAPES = {
     "embed": (INPUTS, EMBEDDED),
@@ -78,9 +78,11 @@ def _log_sums(x: np.ndarray) -> np.ndarray:
     return np.log(np.exp(x).sum(axis=1))
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=-1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=-1, keepdims=True))
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Chances of each row, in place; bounded weights can't overflow them."""
+    np.exp(np.minimum(x, 80, out=x), out=x)
+    x *= 1 / x.sum(axis=1, keepdims=True)
+    return x
 
 
 def _by_class(targets: np.ndarray) -> list[tuple[int, np.ndarray]]:
@@ -150,43 +152,56 @@ def _token_logs(p: Parameters, states: np.ndarray, targets: np.ndarray) -> np.nd
     return logs
 
 
+def batch_sizes(n: int, lanes: int) -> list[int]:
+    """Sizes of the batches that ``n`` documents are read in: small first, up to ``lanes``.
+
+    Many small steps at first let few documents teach something, too; the rule is the same
+    for any number of documents.
+    """
+    sizes = []
+    while n > 0:
+        sizes.append(min(n, lanes, LEAST_LANES << (len(sizes) // SAME_LANES)))
+        n -= sizes[-1]
+    return sizes
+
+
 def train(
-    p: Parameters, docs: list[np.ndarray], least_steps: int, lanes: int = 64, rate: float = 4e-3, seed: int = 0
+    p: Parameters, docs: list[np.ndarray], lanes: int = 256, rate: float = 4e-3, seed: int = 0
 ) -> tuple[Parameters, int]:
-    """Truncated backpropagation through time over ``docs``; new weights and tokens read.
+    """Truncated backpropagation through time, once over ``docs``; new weights and tokens read.
 
     Documents of like length share a batch. The state runs on from window to window, gradients
-    stop at a window's start. Small inputs are read again until ``least_steps`` updates, MOST_PASSES
-    times at most.
+    stop at a window's start. The result depends on the documents alone, not on their order.
     """
     p = Parameters(p.flat.copy())
     rng = np.random.default_rng(seed)
     first, second = np.zeros(SIZE, np.float32), np.zeros(SIZE, np.float32)
     fixed = p.flat <= _NEVER / 2  # slots without a word stay impossible
     step = tokens = 0
-    docs = sorted((d for d in docs if len(d)), key=len)
-    for _ in range(MOST_PASSES):
-        if not docs or step >= least_steps:
-            break
-        batches = [docs[i : i + lanes] for i in range(0, len(docs), lanes)]
-        for b in rng.permutation(len(batches)):
-            batch = sorted(batches[b], key=len, reverse=True)
-            h = np.zeros((len(batch), HIDDEN), np.float32)
-            last = np.zeros(len(batch), np.int64)
-            for start in range(0, len(batch[0]), WINDOW):
-                pieces = [d[start : start + WINDOW] for d in batch if len(d) > start]
-                h, last = h[: len(pieces)], last[: len(pieces)]
-                gradient, h, last, read = _window_gradient(p, pieces, h, last)
-                step += 1
-                tokens += read
-                norm = float(np.sqrt((gradient**2).sum()))
-                gradient *= min(1.0, 1.0 / (norm + 1e-9))
-                gradient[fixed] = 0
-                first += 0.1 * (gradient - first)
-                second += 0.01 * (gradient**2 - second)
-                p.flat -= (rate / (1 - 0.9**step)) * first / (
-                    np.sqrt(second / (1 - 0.99**step)) + 1e-8
-                )
+    docs = sorted((d for d in docs if len(d)), key=lambda d: (len(d), d.tobytes()))
+    sizes = batch_sizes(len(docs), lanes)
+    # Batches take random places among the documents sorted by length.
+    places = rng.permutation(len(sizes))
+    ends = np.cumsum([sizes[b] for b in places])
+    end_of = dict(zip(places.tolist(), ends.tolist(), strict=True))
+    for b, size in enumerate(sizes):
+        batch = docs[end_of[b] - size : end_of[b]][::-1]
+        h = np.zeros((size, HIDDEN), np.float32)
+        last = np.zeros(size, np.int64)
+        for start in range(0, len(batch[0]), WINDOW):
+            pieces = [d[start : start + WINDOW] for d in batch if len(d) > start]
+            h, last = h[: len(pieces)], last[: len(pieces)]
+            gradient, h, last, read = _window_gradient(p, pieces, h, last)
+            step += 1
+            tokens += read
+            norm = float(np.sqrt(gradient @ gradient))
+            gradient *= min(1.0, 1.0 / (norm + 1e-9))
+            gradient[fixed] = 0
+            first += 0.1 * (gradient - first)
+            second += 0.01 * (gradient**2 - second)
+            p.flat -= (rate / (1 - 0.9**step)) * first / (
+                np.sqrt(second / (1 - 0.99**step)) + 1e-8
+            )
     return p, tokens
 
 
@@ -199,50 +214,61 @@ def _window_gradient(
         targets[: len(piece), j] = piece
         real[: len(piece), j] = True
     inputs = np.concatenate([last[None], targets[:-1]])
-    gx = (p.embed[inputs] @ p.wx) + p.b
-    kept = []
-    states = np.empty((steps, lanes, HIDDEN), np.float32)
+    gates = p.embed @ p.wx + p.b
+    before = np.empty((steps, lanes, HIDDEN), np.float32)
+    opened = np.empty((steps, lanes, 2 * HIDDEN), np.float32)
+    news, news_h, states = np.empty_like(before), np.empty_like(before), np.empty_like(before)
     for t in range(steps):
-        gh = h @ p.wh
-        rz = _sigmoid(gx[t][:, : 2 * HIDDEN] + gh[:, : 2 * HIDDEN])
-        r, z = rz[:, :HIDDEN], rz[:, HIDDEN:]
-        new = np.tanh(gx[t][:, 2 * HIDDEN :] + r * gh[:, 2 * HIDDEN :])
-        kept.append((h, r, z, new, gh[:, 2 * HIDDEN :]))
-        h = new + z * (h - new)
+        gx, gh = gates[inputs[t]], h @ p.wh
+        rz = _sigmoid(gx[:, : 2 * HIDDEN] + gh[:, : 2 * HIDDEN])
+        new = np.tanh(gx[:, 2 * HIDDEN :] + rz[:, :HIDDEN] * gh[:, 2 * HIDDEN :])
+        before[t], opened[t], news[t], news_h[t] = h, rz, new, gh[:, 2 * HIDDEN :]
+        h = new + rz[:, HIDDEN:] * (h - new)
         states[t] = h
 
     grad = Parameters(np.zeros(SIZE, np.float32))
     d_states = np.zeros_like(states)
     s, y = states[real], targets[real]
     n = len(y)
-    error = np.exp(_log_softmax(s @ p.wc + p.bc))
+    error = _softmax(s @ p.wc + p.bc)
     error[np.arange(n), class_of(y)] -= 1
-    error /= n
+    error *= np.float32(1 / n)
     grad.wc[:], grad.bc[:] = s.T @ error, error.sum(axis=0)
     ds = error @ p.wc.T
     for c, rows in _by_class(y):
-        inside = np.exp(_log_softmax(s[rows] @ p.ww[c] + p.bw[c]))
+        some = s[rows]
+        inside = _softmax(some @ p.ww[c] + p.bw[c])
         inside[np.arange(len(rows)), y[rows] % CLASS_SIZE] -= 1
-        inside /= n
-        grad.ww[c], grad.bw[c] = s[rows].T @ inside, inside.sum(axis=0)
+        inside *= np.float32(1 / n)
+        grad.ww[c], grad.bw[c] = some.T @ inside, inside.sum(axis=0)
         ds[rows] += inside @ p.ww[c].T
     d_states[real] = ds
 
+    # What the last step of the chain rule multiplies the gradient of a state by, for all steps.
+    r, z = opened[:, :, :HIDDEN], opened[:, :, HIDDEN:]
+    by_new = (1 - z) * (1 - news**2)
+    by_r = by_new * news_h * r * (1 - r)
+    by_z = (before - news) * z * (1 - z)
     d_gx = np.empty((steps, lanes, 3 * HIDDEN), np.float32)
+    d_gh = np.empty_like(d_gx)
     dh = np.zeros((lanes, HIDDEN), np.float32)
+    back = np.ascontiguousarray(p.wh.T)
     for t in range(steps - 1, -1, -1):
-        before, r, z, new, gh_new = kept[t]
-        dh = dh + d_states[t]
-        d_new = dh * (1 - z) * (1 - new**2)
-        d_r = d_new * gh_new * r * (1 - r)
-        d_z = dh * (before - new) * z * (1 - z)
-        d_gx[t] = np.concatenate([d_r, d_z, d_new], axis=1)
-        d_gh = np.concatenate([d_r, d_z, d_new * r], axis=1)
-        grad.wh[:] += before.T @ d_gh
-        dh = dh * z + d_gh @ p.wh.T
-    flat = d_gx.reshape(-1, 3 * HIDDEN)
-    grad.wx[:] = p.embed[inputs].reshape(-1, EMBEDDED).T @ flat
-    grad.b[:] = flat.sum(axis=0)
-    np.add.at(grad.embed, inputs.ravel(), flat @ p.wx.T)
+        dh += d_states[t]
+        x = d_gx[t]
+        np.multiply(dh, by_r[t], out=x[:, :HIDDEN])
+        np.multiply(dh, by_z[t], out=x[:, HIDDEN : 2 * HIDDEN])
+        np.multiply(dh, by_new[t], out=x[:, 2 * HIDDEN :])
+        d_gh[t] = x
+        d_gh[t][:, 2 * HIDDEN :] *= r[t]
+        dh = dh * z[t] + d_gh[t] @ back
+    grad.wh[:] = before.reshape(-1, HIDDEN).T @ d_gh.reshape(-1, 3 * HIDDEN)
+    # Gradients of equal inputs are added up first; few of the inputs occur often.
+    flat, order = d_gx.reshape(-1, 3 * HIDDEN), np.argsort(inputs.ravel(), kind="stable")
+    used, firsts = np.unique(inputs.ravel()[order], return_index=True)
+    sums = np.add.reduceat(flat[order], firsts, axis=0)
+    grad.wx[:] = p.embed[used].T @ sums
+    grad.b[:] = sums.sum(axis=0)
+    grad.embed[used] = sums @ p.wx.T
     # The state of a finished lane is never read again.
     return grad.flat, h, targets[-1], n

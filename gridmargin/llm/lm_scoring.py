@@ -10,15 +10,20 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import pandas_udf
 
 from gridmargin.llm import gru
 from gridmargin.llm.common import stored, table
 from gridmargin.llm.simhash import words_of
 
 END = ""  # no word is empty
-LEAST_STEPS = 200
-# Documents that are read side by side.
-LANES = 256
+# Documents that are read side by side in training.
+LANES = 128
+# One in so many training documents is kept aside, to choose how far the training goes.
+CHECKED = 16
+STEPS = (0.0, 0.5, 1.0)
+# Weights of so many parts are averaged in one group.
+FAN = 16
 # Tail words that the tail classes are clustered from, the most frequent ones.
 CLUSTER_WORDS = 20_000
 BLOCK_BYTES = 20_000_000
@@ -71,14 +76,6 @@ class Vocabulary:
             found.update(zip(tail, classes.tolist(), strict=True))
         return found
 
-    def encode(self, texts: list[list[str]]) -> list[np.ndarray]:
-        known = self.inputs(list(set().union(*texts)))
-        return [np.array([known[w] for w in words] + [0], np.int64) for words in texts]
-
-
-def split_words(text: str | None) -> list[str]:
-    return [w.decode() for w in words_of(text)]
-
 
 def held_out(doc_id: Column) -> Column:
     """True where a document must not be learned from; a null id counts as text ''."""
@@ -103,40 +100,86 @@ def word_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def train_network(
-    docs: DataFrame, vocabulary: Vocabulary, start: gru.Parameters
-) -> gru.Parameters:
-    """Local training on every part of the documents, then averaging.
+def checked() -> Column:
+    """True where training documents only choose between weights; equal texts go together."""
+    return F.pmod(F.xxhash64("inputs"), F.lit(CHECKED)) == 0
+
 
-    All documents are read, at every size. Each task trains on its own documents; Spark averages
-    the weights position by position, by tokens read, and only the averages, whose number is
-    fixed, reach the driver.
+def train_blocks(profiles: DataFrame, start: gru.Parameters, blocks: int) -> DataFrame:
+    """(part, tokens, weights): weights that each block's training documents lead to.
+
+    One optimiser per block, one pass over its documents in an order of their own, so that
+    weights depend on the table alone, not on its files or batches.
     """
     flat = start.flat
 
-    def local(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p = gru.Parameters(flat.copy())
-        tokens = 0
-        for batch in batches:
-            encoded = vocabulary.encode([split_words(t) for t in batch["text"]])
-            p, read = gru.train(p, encoded, LEAST_STEPS, lanes=LANES)
-            tokens += read
-        if tokens:
-            yield pd.DataFrame({"tokens": [float(tokens)], "weights": [p.flat]})
-
-    means = (
-        docs.select("text")
-        .mapInPandas(local, "tokens double, weights array<float>")
-        .select("tokens", F.posexplode("weights").alias("at", "weight"))
-        .groupBy("at")
-        .agg((F.sum(F.col("weight") * F.col("tokens")) / F.sum("tokens")).alias("mean"))
-        .toPandas()
+    def local(part: pd.DataFrame) -> pd.DataFrame:
+        docs = [np.frombuffer(x, "<i2").astype(np.int64) for x in part["inputs"]]
+        p, tokens = gru.train(gru.Parameters(flat), docs, lanes=LANES)
+        return pd.DataFrame(
+            {"part": [part["block"].iloc[0]], "tokens": [tokens], "weights": [p.flat.astype(float).tobytes()]}
+        )
+
+    return (
+        profiles.filter(~checked())
+        .select("block", "inputs")
+        .repartition(blocks, "block")  # a number, as small blocks take long, too
+        .groupBy("block")
+        .applyInPandas(local, "part int, tokens long, weights binary")
     )
-    if not len(means):
+
+
+def average(parts: DataFrame, number: int) -> tuple[int, np.ndarray | None]:
+    """Tokens and mean weights, by tokens, of ``number`` parts at most, merged in a tree."""
+
+    def merge(some: pd.DataFrame) -> pd.DataFrame:
+        some = some.sort_values("part")
+        total = int(some["tokens"].sum())
+        mean = np.zeros(gru.SIZE)
+        for tokens, weights in zip(some["tokens"], some["weights"], strict=True):
+            mean += np.frombuffer(weights) * (tokens / total)
+        return pd.DataFrame(
+            {"part": [some["part"].iloc[0] // FAN], "tokens": [total], "weights": [mean.tobytes()]}
+        )
+
+    while number > 1:
+        number = math.ceil(number / FAN)
+        parts = parts.groupBy(F.floor(F.col("part") / FAN)).applyInPandas(
+            merge, "part int, tokens long, weights binary"
+        )
+    found = parts.first()  # the only row
+    return (found["tokens"], np.frombuffer(found["weights"])) if found else (0, None)
+
+
+def train_network(profiles: DataFrame, start: gru.Parameters, blocks: int) -> gru.Parameters:
+    """Weights learned from training documents (block, inputs): trained by block and averaged.
+
+    All documents are read, at every size. Those of :func:`checked` choose how far to go from
+    ``start`` to the average, so that few documents can't make the network worse than the
+    counts it starts from. Without any of them ``start`` stays.
+    """
+    _, mean = average(train_blocks(profiles, start, blocks), blocks)
+    if mean is None:
         return start
-    trained = np.empty(gru.SIZE, np.float32)
-    trained[means["at"].to_numpy()] = means["mean"].to_numpy()
-    return gru.Parameters(trained)
+    first = start.flat.astype(float)
+    steps = [(first + step * (mean - first)).astype(np.float32) for step in STEPS]
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            docs = [np.frombuffer(x, "<i2") for x in batch["inputs"]]
+            logs = [gru.log_likelihoods(gru.Parameters(w), docs).sum() for w in steps]
+            yield pd.DataFrame({"step": range(len(steps)), "logs": logs})
+
+    sums = (
+        profiles.filter(checked())
+        .select("inputs")
+        .mapInPandas(check, "step int, logs double")
+        .groupBy("step")
+        .agg(F.sum("logs").alias("logs"))
+        .orderBy(F.desc("logs"), "step")
+        .first()
+    )
+    return gru.Parameters(steps[sums["step"]]) if sums else start
 
 
 def score_documents(docs: DataFrame) -> DataFrame:
@@ -145,7 +188,8 @@ def score_documents(docs: DataFrame) -> DataFrame:
     Scores are log10 probabilities of the whole text with its end. Null and empty texts are
     the end token alone. A null doc_id is a document like any other; repeated rows are counted
     and scored each. Without training documents all words are unseen and base_score is 0.
-    Other columns are ignored.
+    Other columns are ignored. Scores do not depend on how the table is cut into partitions,
+    but for rounding of single precision.
     """
     docs = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -174,18 +218,14 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def classify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = vocabulary.inputs(batch["word"].tolist())
-            inputs = np.array([found[w] for w in batch["word"]], np.int64)
-            tail = inputs >= gru.HEAD
-            sums = np.bincount(inputs[tail] - gru.HEAD, batch["c"][tail], gru.TAIL_CLASSES)
-            kinds = np.bincount(inputs[tail] - gru.HEAD, minlength=gru.TAIL_CLASSES)
-            yield pd.DataFrame(
-                {"tail": np.arange(gru.TAIL_CLASSES), "c": sums.astype(np.int64), "kinds": kinds}
-            )
+            yield batch.assign(input=[found[w] for w in batch["word"]])
 
+    counts = stored(counts.mapInPandas(classify, "word string, c long, input int"), "word-inputs")
+    tail = F.col("input") - gru.HEAD
     tails = (
-        counts.mapInPandas(classify, "tail int, c long, kinds long")
-        .groupBy("tail")
-        .agg(F.sum("c").alias("c"), F.sum("kinds").alias("kinds"))
+        counts.filter(tail >= 0)
+        .groupBy(tail.alias("tail"))
+        .agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("kinds"))
         .toPandas()
         .set_index("tail")
         .reindex(range(gru.TAIL_CLASSES), fill_value=0)
@@ -194,8 +234,6 @@ def score_documents(docs: DataFrame) -> DataFrame:
     start = gru.initial(
         np.array([ends["c"] if ends else 0.5, *head["c"]], dtype=float), tail_c
     )
-    parameters = train_network(training, vocabulary, start)
-    flat = parameters.flat
 
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = 1 + size // BLOCK_BYTES
@@ -206,56 +244,71 @@ def score_documents(docs: DataFrame) -> DataFrame:
     def distinct(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for block, texts in batch.groupby("block")["text"]:
-                words: set = set().union(*map(words_of, texts))
+                words: set = set().union((b"",), *map(words_of, texts))
                 yield pd.DataFrame({"word": [w.decode() for w in words], "block": block})
 
+    # All columns go in, so that both readers of the layout share one shuffle of the texts.
     lookups = (
-        laid_out.select("block", "text")
-        .mapInPandas(distinct, "word string, block int")
+        laid_out.mapInPandas(distinct, "word string, block int")
+        .distinct()
         .join(counts, "word")
-        .select("block", "word", "c")
+        .select("block", F.col("word").cast("binary").alias("word"), "c", "input")
     )
 
-    def score(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        count = dict(zip(known["word"], known["c"].tolist(), strict=True))
-        count[END] = ends["c"] if ends else 0
-        numbers = {b"": 0}
+    def profile(part: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
+        numbers = {bytes(w): i for i, w in enumerate(known["word"])}
+        rows = []
         for text in part["text"]:
-            for w in set(words_of(text)).difference(numbers):
-                numbers[w] = len(numbers)
-        words = [w.decode() for w in numbers]
-        found = vocabulary.inputs(words)
-        c = np.array([count.get(w, 0) for w in words], float)
-        inputs = np.array([found[w] for w in words], np.int64)
+            rows.append(
+                np.array([numbers.setdefault(w, len(numbers)) for w in (*words_of(text), b"")], np.int32)
+            )
+        unseen = [w.decode() for w in list(numbers)[len(known) :]]
+        found = vocabulary.inputs(unseen)
+        c = np.concatenate([known["c"].to_numpy(dtype=float), np.zeros(len(unseen))])
+        inputs = np.concatenate([known["input"].to_numpy(), [found[w] for w in unseen]]).astype("<i2")
         base = np.log10(c + 0.5) - math.log10(n + 0.5 * (v + 1))
         tail = np.maximum(inputs - gru.HEAD, 0)
         share = np.where(
             inputs < gru.HEAD, 0, np.log((c + 0.5) / (tail_c[tail] + 0.5 * (tail_kinds[tail] + 1)))
         )
-        rows = [
-            np.array([*map(numbers.__getitem__, words_of(t)), 0], np.int32) for t in part["text"]
-        ]
-        logs = gru.log_likelihoods(gru.Parameters(flat), [inputs[r] for r in rows])
         return pd.DataFrame(
             {
+                "block": part["block"],
                 "doc_id": part["doc_id"].astype("Int64"),
                 "held_out": part["held_out"],
                 "n_tokens": [len(r) for r in rows],
                 "n_known": [int((c[r] > 0).sum()) for r in rows],
-                "train_tokens": n,
-                "base_score": [math.fsum(base[r]) for r in rows],
-                "score": [(x + math.fsum(share[r])) / math.log(10) for x, r in zip(logs, rows, strict=True)],
+                "base_score": [base[r].sum() for r in rows],
+                "share": [share[r].sum() for r in rows],
+                "inputs": [inputs[r].tobytes() for r in rows],
             }
         )
 
-    return (
+    profiles = stored(
         laid_out.groupBy("block")
         .cogroup(lookups.groupBy("block"))
         .applyInPandas(
-            score,
-            "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-            "base_score double, score double",
-        )
+            profile,
+            "block int, doc_id long, held_out boolean, n_tokens long, n_known long, "
+            "base_score double, share double, inputs binary",
+        ),
+        "profiles",
+    )
+    flat = train_network(profiles.filter(~F.col("held_out")), start, blocks).flat
+
+    @pandas_udf("double")
+    def score(inputs: pd.Series, share: pd.Series) -> pd.Series:
+        logs = gru.log_likelihoods(gru.Parameters(flat), [np.frombuffer(x, "<i2") for x in inputs])
+        return (pd.Series(logs) + share) / math.log(10)
+
+    return profiles.select(
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_known",
+        F.lit(n).cast("long").alias("train_tokens"),
+        "base_score",
+        score("inputs", "share").alias("score"),
     )
 
 
