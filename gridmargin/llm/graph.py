@@ -3,7 +3,8 @@
 Vectors enter the graph in growing batches: a greedy search proposes neighbours, pruning with
 a relaxed distance keeps diverse ones, and back edges are added and pruned alike. A query runs
 a beam search in every shard. Largest inner product is turned into smallest distance by one
-extra component that gives all vectors of a shard the same length.
+extra component that gives all vectors of a shard the same length. A shard holds vectors of
+one band of lengths, so that a few long vectors can't make all others look alike.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gridmargin.llm.common import stored, table
@@ -20,6 +21,8 @@ from gridmargin.llm.common import stored, table
 DEGREE, BUILD_BEAM, QUERY_BEAM, RELAX = 40, 80, 160, 1.2
 # Shards: at least so many, and so many vectors in one at most, on average.
 LEAST_SHARDS, SHARD_VECTORS = 8, 50_000
+# The longest vector of a shard is so many doublings longer than the shortest, at most.
+BAND = 2
 BLOCK_QUERIES = 5_000
 _BATCH = 256
 
@@ -78,14 +81,15 @@ def robust_prune(
     and again, and those go that are closer to it, by the factor ``relax``, than to the point.
     """
     valid = (candidates >= 0) & (candidates != points[:, None])
-    found = vectors[np.maximum(candidates, 0)]
-    centre = vectors[points]
-    # All vectors have the same length, so the inner product orders distances too.
-    norm = float(vectors[0] @ vectors[0]) if len(vectors) else 1.0
-    to_point = 2 * np.maximum(norm - np.einsum("bcd,bd->bc", found, centre), 0)
-    between = 2 * np.maximum(norm - found @ found.transpose(0, 2, 1), 0)
+    # In doubles, as the distance of near vectors is the small difference of large numbers.
+    found = vectors[np.maximum(candidates, 0)].astype(np.float64)
+    centre = vectors[points].astype(np.float64)
+    square = np.einsum("bcd,bcd->bc", found, found)
+    to_point = square + np.einsum("bd,bd->b", centre, centre)[:, None]
+    to_point = np.maximum(to_point - 2 * np.einsum("bcd,bd->bc", found, centre), 0)
+    between = square[:, :, None] + square[:, None, :] - 2 * (found @ found.transpose(0, 2, 1))
     rows = np.arange(len(points))
-    alive = np.where(valid, to_point, np.inf).astype(np.float32)
+    alive = np.where(valid, to_point, np.inf)
     out = np.full((len(points), degree), -1, np.int32)
     for i in range(degree):
         best = alive.argmin(axis=1)
@@ -99,10 +103,12 @@ def robust_prune(
 
 
 def same_length(vectors: np.ndarray) -> np.ndarray:
-    """Vectors with one more component, so that all have the length of the longest."""
-    squares = (vectors.astype(np.float64) ** 2).sum(axis=1)
-    extra = np.sqrt(np.maximum(squares.max(initial=0) - squares, 0))
-    return np.concatenate([vectors, extra[:, None]], axis=1).astype(np.float32)
+    """Vectors over the longest one's length, with one more component that makes all lengths 1."""
+    scaled = vectors / max(np.abs(vectors).max(initial=0), np.finfo(float).tiny)
+    squares = (scaled**2).sum(axis=1)
+    longest = max(squares.max(initial=0), np.finfo(float).tiny)
+    extra = np.sqrt(np.maximum(1 - squares / longest, 0))
+    return np.concatenate([scaled / np.sqrt(longest), extra[:, None]], axis=1).astype(np.float32)
 
 
 def build_graph(vectors: np.ndarray, seed: int = 0) -> tuple[np.ndarray, int]:
@@ -169,8 +175,30 @@ def usable(vectors: DataFrame) -> DataFrame:
     return sound.filter(F.size(e) == (usual["size"] if usual else 0)).distinct()
 
 
-def build_index(vectors: DataFrame, keep: int) -> DataFrame:
-    """One row per shard: vectors, the ids of each (the ``keep`` smallest) and the graph.
+def length_band(embedding: Column) -> Column:
+    """The logarithm of a vector's length in steps of BAND doublings; none is out of range."""
+    largest = F.array_max(F.transform(embedding, F.abs))
+    squares = F.aggregate(
+        F.transform(embedding, lambda x: x / largest), F.lit(0.0), lambda total, x: total + x * x
+    )
+    return F.floor((F.log2(largest) + F.log2(squares) / 2) / BAND).cast("int")
+
+
+def _shards(bands: list[tuple[int, int]]) -> tuple[list[tuple[int, int, int]], int]:
+    """(band, its first shard, its shards) for (band, vectors), and the number of all shards."""
+    total = sum(n for _, n in bands)
+    wanted = max(LEAST_SHARDS, math.ceil(total / SHARD_VECTORS))
+    out, first = [], 0
+    for band, n in sorted(bands):
+        parts = -(-n * wanted // total)
+        out.append((band, first, parts))
+        first += parts
+    return out, first
+
+
+def build_index(vectors: DataFrame, keep: int) -> tuple[DataFrame, int]:
+    """One row per shard: vectors, the ids of each (the ``keep`` smallest) and the graph; and
+    the number of shards.
 
     Equal vectors are one node, so thousands of copies neither crowd a beam nor a task.
     ``vectors`` is that of :func:`usable`.
@@ -199,9 +227,14 @@ def build_index(vectors: DataFrame, keep: int) -> DataFrame:
         .groupBy("embedding")
         .agg(F.collect_list("vec_id").alias("ids"), F.min("vec_id").alias("first"))
     )
-    shards = max(LEAST_SHARDS, math.ceil(vectors.count() / SHARD_VECTORS))
-    return stored(
-        nodes.withColumn("shard", F.pmod(F.xxhash64("first"), F.lit(shards)).cast("int"))
+    nodes = nodes.withColumn("band", length_band(F.col("embedding")))
+    # Doubles have some 1,100 bands, so the counts and their table are small at any size.
+    counted = [tuple(r) for r in vectors.groupBy(length_band(F.col("embedding"))).count().collect()]
+    layout, shards = _shards(counted)
+    bands = vectors.sparkSession.createDataFrame(layout, "band int, at int, parts int")
+    index = stored(
+        nodes.join(F.broadcast(bands), "band")
+        .withColumn("shard", (F.col("at") + F.pmod(F.xxhash64("first"), "parts")).cast("int"))
         .groupBy("shard")
         .applyInPandas(
             build,
@@ -209,14 +242,15 @@ def build_index(vectors: DataFrame, keep: int) -> DataFrame:
         ),
         "index",
     )
+    return index, shards
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest inner products found per query.
 
     ``vectors`` and ``queries`` hold vec_id and embedding. A query never finds its own id;
-    equal scores are ranked by vec_id; with fewer candidates than ``k`` all in reach of the
-    beams are returned. Rows without a usable vector or id take no part, on either side.
+    equal scores are ranked by vec_id; with fewer candidates than ``k`` all are returned.
+    Vectors may have any lengths. Rows without a usable vector or id take no part, on either side.
     Repeated rows count once. Other columns are ignored.
     """
 
@@ -244,6 +278,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             beams, _ = beam_search(flat, long, edges, int(part["entry"]), width)
             for i, beam in enumerate(beams):
                 beam = beam[beam >= 0]
+                if len(beam) < min(width, len(exact)):  # not all is reached: look at everything
+                    beam = np.arange(len(exact))
                 scores = exact[beam] @ some[i]
                 members = sizes[beam]
                 picked = np.concatenate([ids[ends[b] - sizes[b] : ends[b]] for b in beam])
@@ -255,14 +291,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
         return pd.DataFrame(dict(zip(names, map(np.concatenate, zip(*out)), strict=True)))
 
     vectors = usable(vectors)
-    index = build_index(vectors, k + 1)
+    index, shards = build_index(vectors, k + 1)
     queries = usable(queries).withColumnRenamed("vec_id", "query_id")
     blocks = max(1, math.ceil(queries.count() / BLOCK_QUERIES))
-    shards = index.select("shard")
     laid_out = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     asked = queries.withColumn(
         "block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int")
-    ).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(_largest(shards)))))
+    ).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(max(shards - 1, 0)))))
     found = (
         laid_out.groupBy("shard", "block")
         .cogroup(asked.groupBy("shard", "block"))
@@ -276,11 +311,6 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _largest(shards: DataFrame) -> int:
-    last = shards.agg(F.max("shard")).first()[0]
-    return 0 if last is None else last
-
-
 def op6_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every vector whose id is divisible by 20."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")

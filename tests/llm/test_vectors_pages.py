@@ -44,6 +44,33 @@ def test_nearest(spark):
             assert r.score == pytest.approx(np.dot(np.float64(vectors[q]), np.float64(vectors[r.vec_id])), rel=1e-12)
 
 
+def _lengths(kind, n, rng):
+    if kind == "one long":
+        return np.where(np.arange(n) == 17, 1e4, 1.0)
+    if kind == "six decades":
+        return 10 ** rng.uniform(-3, 3, n)
+    return np.full(n, {"all long": 1e25, "all tiny": 1e-160}[kind])
+
+
+@pytest.mark.parametrize("kind", ["one long", "six decades", "all long", "all tiny"])
+def test_nearest_whatever_the_lengths(spark, kind):
+    rng = np.random.default_rng(4)
+    points = rng.standard_normal((2000, 16)) * _lengths(kind, 2000, rng)[:, None]
+    vectors = dict(enumerate(points))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in vectors.items()], "vec_id long, embedding array<double>")
+    queries = {i: x for i, x in vectors.items() if i % 20 == 0}
+    got = graph.nearest(df, df.filter("vec_id % 20 = 0"), 10).collect()
+    truth = exact(vectors, queries, 10)
+    assert len(got) == 10 * len(queries)
+    assert sum(r.vec_id in truth[r.query_id] for r in got) >= 0.95 * len(got)
+
+
+def test_shards_follow_the_bands():
+    layout, shards = graph._shards([(3, 1), (0, 999)])
+    assert layout == [(0, 0, 8), (3, 8, 1)] and shards == 9
+    assert graph._shards([]) == ([], 0)
+
+
 def test_few_vectors(spark):
     df = spark.createDataFrame([(20, [1.0, 0.0]), (21, [1.0, 1.0]), (40, [0.0, 2.0])], "vec_id long, embedding array<float>")
     got = graph.nearest(df, df.filter("vec_id % 20 = 0"), 5).collect()
