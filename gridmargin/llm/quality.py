@@ -121,11 +121,16 @@ def held_out(doc_id: Column) -> Column:
 
 
 def train_ranking(docs: DataFrame, labels: DataFrame) -> Ranking:
-    """Fit on the labelled rows that are not held out, at most SAMPLE_ROWS of them."""
+    """Fit on the labelled rows that are not held out, at most SAMPLE_ROWS labels.
+
+    Repeated labels count once, and so do rows of a repeated doc_id, with the smallest features
+    of their texts. So SAMPLE_ROWS short rows at most reach the driver.
+    """
     known = (
         labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1))
         .filter(~held_out(F.col("doc_id")))
         .select("doc_id", F.col("quality").cast("int").alias("quality"))
+        .distinct()
         .orderBy(F.xxhash64("doc_id"), "doc_id", "quality")
         .limit(SAMPLE_ROWS)
     )
@@ -138,9 +143,10 @@ def train_ranking(docs: DataFrame, labels: DataFrame) -> Ranking:
         docs.select("doc_id", "text")
         .join(F.broadcast(known), "doc_id")  # SAMPLE_ROWS rows at most
         .select("doc_id", "quality", described("text").alias("x"))
+        .groupBy("doc_id", "quality")
+        .agg(F.min("x").alias("x"))
         .toPandas()
         .sort_values(["doc_id", "quality"], kind="stable")
-        .head(2 * SAMPLE_ROWS)
     )
     x = np.array(rows["x"].tolist(), float).reshape(len(rows), N_FEATURES)
     return fit_ranking(x, rows["quality"].to_numpy(dtype=int))

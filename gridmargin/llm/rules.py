@@ -27,51 +27,59 @@ RULES = {
 RISK = 0.03
 ERROR = 0.1
 _BLANK = r"[\x20\x09-\x0D]"
-_PLACES = 26  # bits of a sort key that hold the place in the text
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+COUNTS = [*BASE, "n_lines", "n_upper"]
+
+
+def _packed(docs: DataFrame, taken: list[str], *more: Column) -> tuple[DataFrame, list[str]]:
+    """``docs`` with all columns but the text and those ``taken`` in a struct ``row``, so that no
+    name can clash, its text as ``text`` and ``more`` columns; and the names of the struct."""
+    names = [c for c in docs.columns if c not in ("text", *taken)]
+    quoted = [F.col("`" + c.replace("`", "``") + "`") for c in names]
+    row = F.struct(*quoted) if names else F.lit(None)
+    return docs.select(row.alias("row"), F.coalesce("text", F.lit("")).alias("text"), *more), names
+
+
+def _fields(names: list[str]) -> list[Column]:
+    return [F.col("row").getField(c).alias(c) for c in names]
 
 
 def text_counts(docs: DataFrame) -> DataFrame:
     """``docs`` without its text but with the counts that the rules need, as longs.
 
-    Null counts as empty. Columns that have the name of a count are replaced. Repeated windows are found by sorting window hashes that carry
-    their place, so a text of n words costs n log n and stays in its row.
+    Null counts as empty. Columns that have the name of a count are replaced, all others stay,
+    whatever their names. Repeated windows are found by sorting window hashes with their place,
+    so a text of n words costs n log n and stays in its row.
     """
-    kept = [c for c in docs.columns if c not in ("text", "_text", *BASE, "n_lines", "n_upper")]
-    word, mask = F.col("_words"), F.lit((1 << _PLACES) - 1).cast("long")
-    df = docs.select(*kept, F.coalesce("text", F.lit("")).alias("_text"))
+    df, names = _packed(docs, COUNTS)
+    word = F.col("_words")
     df = df.select(
         "*",
-        F.filter(F.split("_text", _BLANK + "+"), lambda w: w != "").alias("_words"),
-        F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"),
+        F.filter(F.split("text", _BLANK + "+"), lambda w: w != "").alias("_words"),
+        F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"),
     )
     starts = F.when(F.size(word) >= 3, F.sequence(F.lit(0), F.size(word) - 3)).otherwise(
         F.array().cast("array<int>")
     )
     df = df.select(
-        *kept,
+        "row",
         F.size(word).cast("long").alias("n_words"),
         F.length(F.array_join(word, "")).cast("long").alias("word_chars"),
-        F.regexp_count("_text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
-        F.regexp_count("_text", F.lit("[A-Z]")).cast("long").alias("n_upper"),
+        F.regexp_count("text", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        F.regexp_count("text", F.lit("[A-Z]")).cast("long").alias("n_upper"),
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
         F.transform(starts, lambda i: F.xxhash64(word[i], word[i + 1], word[i + 2])).alias("_hash"),
     )
-    order = F.transform(
-        F.col("_hash"), lambda h, i: F.shiftleft(h, _PLACES).bitwiseOR(i.cast("long"))
-    )
+    order = F.transform("_hash", lambda h, i: F.struct(h.alias("hash"), i.cast("long").alias("at")))
     df = df.withColumn("_order", F.sort_array(order))
 
-    def hash_at(key: Column) -> Column:
-        return F.get(F.col("_hash"), key.bitwiseAND(mask).cast("int"))
-
     def repeated(key: Column, i: Column) -> Column:
         before, after = F.get(F.col("_order"), i - 1), F.get(F.col("_order"), i + 1)
-        same = [F.coalesce(hash_at(key) == hash_at(other), F.lit(False)) for other in (before, after)]
+        same = [F.coalesce(key["hash"] == other["hash"], F.lit(False)) for other in (before, after)]
         return same[0] | same[1]
 
-    places = F.transform(F.filter("_order", repeated), lambda key: key.bitwiseAND(mask))
+    places = F.transform(F.filter("_order", repeated), lambda key: key["at"])
     df = df.withColumn("_places", F.sort_array(places))
     # Each repeated window covers three words, less those the window before it covers too.
     covered = F.aggregate(
@@ -82,7 +90,7 @@ def text_counts(docs: DataFrame) -> DataFrame:
         ),
         lambda acc: acc["n"],
     )
-    return df.withColumn("n_repeat_words", covered).drop("_hash", "_order", "_places")
+    return df.withColumn("n_repeat_words", covered).select(*_fields(names), *COUNTS)
 
 
 def breaks(rule: str, cutoff: Column | int) -> Column:
@@ -156,9 +164,16 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: Column) -> DataFrame:
 
     Good rows are those labelled with quality 1 that pass the base test. A stratum without
     enough of them gets no cutoff, so its rows are judged by the base test alone; a null
-    stratum is one like any other. Repeated rows are judged alike.
+    stratum is one like any other. Repeated rows are judged alike. Columns named as a count,
+    ``base_failed`` or ``kept`` are replaced, all others stay.
     """
-    df = text_counts(docs.withColumn("stratum", F.coalesce(stratum.cast("string"), F.lit(""))))
+    df, names = _packed(
+        docs,
+        [*COUNTS, "base_failed", "kept"],
+        F.col("doc_id"),
+        F.coalesce(stratum.cast("string"), F.lit("")).alias("stratum"),
+    )
+    df = text_counts(df)
     df = stored(
         df.withColumn(
             "base_failed",
@@ -177,7 +192,7 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: Column) -> DataFrame:
     return (
         df.join(cutoffs, "stratum", "left")
         .withColumn("kept", ~(F.col("base_failed") | failed))
-        .drop(*[f"cut_{rule}" for rule in RULES])
+        .select(*_fields(names), *COUNTS, "base_failed", "kept")
     )
 
 

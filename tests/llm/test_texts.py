@@ -118,6 +118,31 @@ def test_verdict(spark):
     assert not any(found[i].kept for i, q, *_ in labels if not q)
 
 
+def test_verdict_keeps_columns_of_any_name(spark):
+    rows, labels = labelled(300)
+    plain = documents(spark, rows)
+    names = ["_words", "_lines", "_hash", "_order", "_text", "row", "stratum", "cut_lines", "a.b", "n_upper"]
+    docs = plain.drop(*names).select("*", *[F.concat(F.lit(n), F.col("doc_id")).alias(n) for n in names])
+    table = spark.createDataFrame(labels, LABELS)
+    expected = {r.doc_id: r for r in rules.judge(plain, table, F.col("lang")).collect()}
+    got = rules.judge(docs, table, F.col("lang")).collect()
+    assert len(got) == len(expected)
+    for r in got:
+        assert all(r[n] == f"{n}{r.doc_id}" for n in names[:-1])
+        same = [*rules.COUNTS, "base_failed", "kept", "lang"]
+        assert [r[c] for c in same] == [expected[r.doc_id][c] for c in same]
+
+
+def test_repeated_labelled_rows_count_once(spark, monkeypatch):
+    rows, labels = labelled()
+    once = quality.train_ranking(documents(spark, rows), spark.createDataFrame(labels, LABELS))
+    fitted = []
+    monkeypatch.setattr(quality, "fit_ranking", lambda x, y: fitted.append(len(x)) or once)
+    quality.train_ranking(documents(spark, rows * 3), spark.createDataFrame(labels * 2, LABELS))
+    quality.train_ranking(documents(spark, rows), spark.createDataFrame(labels, LABELS))
+    assert fitted[0] == fitted[1] <= len(labels)
+
+
 def test_binary_lengths():
     for n in range(1, 300):
         pieces = binary_lengths(n, 64)
