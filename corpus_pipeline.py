@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +22,23 @@ from gridmargin.llm.superkmers import spans_of, with_windows
 
 # Substrings of so many bytes that occur more than once go.
 REPEAT_BYTES = 200
+# Texts reach Python in batches of some so many bytes, as 10,000 long ones would fill a worker.
+BATCH_BYTES = 8 << 20
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def bounded(stage: Stage) -> Stage:
+    """``stage`` with batches of BATCH_BYTES; the session keeps that setting."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
 
 
+@bounded
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the cutoff."""
     ranking = train_ranking(docs, table(spark, sf_dir, "labels"))
@@ -28,11 +46,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_quality(whole, ranking, "score").filter(F.col("score") >= CUTOFF).select("doc.*")
 
 
+@bounded
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, by SimHash of three-word shingles, two bits."""
     return without_near_copies(docs, width=3, radius=2)
 
 
+@bounded
 def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without substrings of 200 bytes that start anywhere else, too, as `op8` has it.
 
@@ -76,12 +96,14 @@ def _without(text: str | None, starts: np.ndarray | None, counts: np.ndarray | N
     return data[~np.repeat(whole, np.diff(np.append(first, len(data))))].tobytes().decode()
 
 
+@bounded
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample of the documents that meets the target shares of sources, languages, topics."""
     whole = docs.select("doc_id", "text", "lang", "source", F.struct(*docs.columns).alias("_doc"))
     return mix_documents(whole).filter("kept").select("_doc.*")
 
 
+@bounded
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document left, cut into power-of-two sequences of token ids."""
     return pack_power_of_two(docs, default_tokenizer())
