@@ -61,9 +61,11 @@ def repeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
 
     @pandas_udf("string")
-    def cleaned(texts: pd.Series, starts: pd.Series, counts: pd.Series) -> pd.Series:
+    def cut(texts: pd.Series, starts: pd.Series, counts: pd.Series) -> pd.Series:
         return pd.Series([_without(*row) for row in zip(texts, starts, counts, strict=True)], dtype=object)
 
+    # Else the filter below would be pushed under it, with a call and Python workers of its own.
+    cleaned = cut.asNondeterministic()
     windows = stored(repeated_bytes(keyed(docs), REPEAT_BYTES), "repeated-windows")
     # Under numbered names no column can clash with those of the operator.
     numbered = {c: f"_{i}" for i, c in enumerate(docs.columns)}
