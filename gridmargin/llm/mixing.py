@@ -31,7 +31,11 @@ TOPIC_ROUNDS = 4
 TEMPER = 0.7
 # Expected share of the tokens that is kept.
 KEPT_SHARE = 0.7
+# Most rounds of raking; it stops once all marginals are within TOLERANCE of their targets.
 ROUNDS = 20
+TOLERANCE = 1e-9
+# Vectors are added up in multiples of 1 / _UNIT, so that sums don't depend on the order.
+_UNIT = 1 << 24
 
 
 def word_profile(words: list[bytes]) -> np.ndarray:
@@ -47,17 +51,26 @@ def residual(profiles: np.ndarray, means: np.ndarray) -> np.ndarray:
     return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
 
 
+def fixed(vectors: np.ndarray) -> np.ndarray:
+    """The sum of vectors, each rounded to multiples of 1 / _UNIT, in these units."""
+    return np.rint(vectors.astype(float) * _UNIT).astype(np.int64).sum(axis=0)
+
+
 def _summed(rows: DataFrame, key: str) -> tuple[list, np.ndarray, np.ndarray]:
-    """Values of ``key``, and per value the sums of ``n`` and of the arrays ``total``."""
+    """Values of ``key`` in order, and per value the sums of ``n`` and of the arrays ``total``.
+
+    ``total`` holds what :func:`fixed` gives; the sums are exact and come back as numbers.
+    """
     found = (
-        rows.select(key, F.posexplode(F.concat(F.array(F.col("n").cast("double")), "total")))
+        rows.select(key, F.posexplode(F.concat(F.array("n"), "total")))
         .groupBy(key, "pos")
         .agg(F.sum("col").alias("sum"))
         .toPandas()
         .pivot(index=key, columns="pos", values="sum")
+        .sort_index()
     )
     sums = found.to_numpy(dtype=float).reshape(-1, 1 + WORD_SLOTS)
-    return found.index.tolist(), sums[:, 0], sums[:, 1:]
+    return found.index.tolist(), sums[:, 0], sums[:, 1:] / _UNIT
 
 
 def topic_centres(docs: DataFrame) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -65,8 +78,9 @@ def topic_centres(docs: DataFrame) -> tuple[dict[str, np.ndarray], np.ndarray]:
 
     Profiles are taken relative to the mean of their language, so that topics are not
     languages over again; '' has the mean of documents without a language, of all if there
-    are none. Batches send sums, Spark adds them, and a few rounds of k-means read all documents each. Only the first
-    centres come from a bounded sample.
+    are none. Batches send sums, Spark adds them, and a few rounds of k-means read all documents
+    each. Only the first centres come from a bounded sample. The result follows from the rows
+    alone, not from their files, batches or order.
     """
     key = F.xxhash64("doc_id", "text").alias("key")
     worded = docs.filter(F.length("text") > 0).select(
@@ -85,11 +99,11 @@ def topic_centres(docs: DataFrame) -> tuple[dict[str, np.ndarray], np.ndarray]:
     def by_language(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for lang, some in batch.groupby("lang")["profile"]:
-                total = np.stack(some.to_numpy()).sum(axis=0, dtype=float)
+                total = fixed(np.stack(some.to_numpy()))
                 yield pd.DataFrame({"lang": [lang], "n": [len(some)], "total": [total]})
 
     langs, counts, totals = _summed(
-        profiled.mapInPandas(by_language, "lang string, n long, total array<double>"), "lang"
+        profiled.mapInPandas(by_language, "lang string, n long, total array<long>"), "lang"
     )
     whole = totals.sum(axis=0) / max(counts.sum(), 1)
     means = {"": whole.astype(np.float32)}
@@ -114,14 +128,15 @@ def topic_centres(docs: DataFrame) -> tuple[dict[str, np.ndarray], np.ndarray]:
                 found = residual(
                     np.stack(batch["profile"].to_numpy()), np.array([means[x] for x in batch["lang"]])
                 )
-                nearest = (found @ centres.T).argmax(axis=1)
+                # Unlike a matrix product, this gives a row the same in any batch.
+                nearest = np.einsum("ij,kj->ik", found, centres).argmax(axis=1)
                 for topic in np.unique(nearest):
                     mine = found[nearest == topic]
-                    total = mine.sum(axis=0, dtype=float)
+                    total = fixed(mine)
                     yield pd.DataFrame({"topic": [topic], "n": [len(mine)], "total": [total]})
 
         topics, _, moved = _summed(
-            profiled.mapInPandas(by_topic, "topic int, n long, total array<double>"), "topic"
+            profiled.mapInPandas(by_topic, "topic int, n long, total array<long>"), "topic"
         )
         centres = centres.copy()
         moved /= np.maximum(np.linalg.norm(moved, axis=1, keepdims=True), 1e-9)
@@ -173,7 +188,8 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
     """``cells`` with ``weight``: weighted tokens have the target shares of all dimensions.
 
     The cells are aggregated beforehand: what a window holds are distinct combinations of
-    values, not documents. Every few rounds the plan is cut by a checkpoint.
+    values, not documents. Every few rounds the plan is cut by a checkpoint, and raking ends if
+    the weights meet all targets by then.
     """
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     weighted = cells.withColumn("weight", F.lit(1.0))
@@ -188,9 +204,39 @@ def rake(cells: DataFrame, targets: dict[str, DataFrame], rounds: int = ROUNDS)
             )
         if round_ % 5 == 4:
             weighted = checkpointed(weighted)
+            goals = {name: F.first(f"_{name}") * total for name in DIMENSIONS}
+            if largest_gap(weighted, F.col("weight") * F.col("tokens"), goals) <= TOLERANCE:
+                break
     return weighted.select(*cells.columns, "weight")
 
 
+def largest_gap(cells: DataFrame, amount: Column, goals: dict[str, Column]) -> float:
+    """How far, relative to its goal, the sum of ``amount`` of any value is from that goal."""
+    gaps = [
+        cells.groupBy(name).agg((F.sum(amount) / goal - 1).alias("gap")).select(F.abs("gap").alias("gap"))
+        for name, goal in goals.items()
+    ]
+    return reduce(DataFrame.unionAll, gaps).agg(F.max("gap")).first()[0] or 0.0
+
+
+def achieved_shares(chances: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """(dimension, value, tokens, target, achieved) of cells with their ``probability``.
+
+    ``target`` is the wanted share of the kept tokens, ``achieved`` the expected one. A value
+    that falls short is kept whole or has too few cells that could give more.
+    """
+    expected = F.col("tokens") * F.col("probability")
+    whole = chances.agg(F.sum(expected)).first()[0] or 1.0
+    parts = [
+        chances.groupBy(F.col(name).cast("string").alias("value"))
+        .agg(F.sum("tokens").alias("tokens"), (F.sum(expected) / whole).alias("achieved"))
+        .join(targets[name].select(F.col("value").cast("string").alias("value"), F.col("share").alias("target")), "value")
+        .select(F.lit(name).alias("dimension"), "value", "tokens", "target", "achieved")
+        for name in DIMENSIONS
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def kept_scale(cells: DataFrame, share: float) -> float:
     """The factor s for which min(1, s weight) keeps ``share`` of the tokens."""
     low, high = 1e-6, 1e6
@@ -248,6 +294,10 @@ def bounded(
             raked = raked.withColumn("_p", F.col("_p") * factor)
         if round_ % 5 == 4:
             raked = checkpointed(raked)
+            goals = {name: F.first(f"_{name}") for name in DIMENSIONS}
+            kept = F.col("tokens") * F.least(F.lit(1.0), "_p")
+            if largest_gap(raked, kept, goals) <= TOLERANCE:
+                break
     return raked.select(*weighted.columns, F.least(F.lit(1.0), "_p").alias("probability"))
 
 
