@@ -139,41 +139,51 @@ def malformed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Trade between nations, per day and loaded by the month, from the order tables.
 
 
-def _trade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with the ship day and the nations of both sides."""
+def trade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the ship day and the nations of both sides.
+
+    Customers join the orders, which are fewer than the line items; these are shuffled by order
+    only, wherever the suppliers are few enough to be broadcast.
+    """
     lines = table(spark, sf_dir, "lineitem")
     orders = table(spark, sf_dir, "orders")
     customers = table(spark, sf_dir, "customer")
     suppliers = table(spark, sf_dir, "supplier")
-    return (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(customers, orders.o_custkey == customers.c_custkey)
-        .join(suppliers, lines.l_suppkey == suppliers.s_suppkey)
-        .select(
-            F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("seller"),
-            F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("buyer"),
-            F.col("l_partkey"),
-            F.date_trunc("day", "l_shipdate").cast("timestamp_ntz").alias("period"),
-            F.col("l_extendedprice").cast(_CENTS).alias("amount"),
-        )
+    sold = lines.join(suppliers, lines.l_suppkey == suppliers.s_suppkey).select(
+        "l_orderkey",
+        F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("seller"),
+        "l_partkey",
+        F.date_trunc("day", "l_shipdate").cast("timestamp_ntz").alias("period"),
+        F.col("l_extendedprice").cast(_CENTS).alias("amount"),
     )
+    bought = orders.join(customers, orders.o_custkey == customers.c_custkey).select(
+        "o_orderkey", F.concat(F.lit("N"), F.col("c_nationkey").cast("string")).alias("buyer")
+    )
+    return sold.join(bought, sold.l_orderkey == bought.o_orderkey).select(
+        "seller", "buyer", "l_partkey", "period", "amount"
+    )
+
 
+def trade_feeds(
+    spark: SparkSession, sf_dir: str, joined: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """Generation by part type, demand and net interchange of the nations, per day.
 
-def trade_feeds(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Generation by part type, demand and net interchange of the nations, per day."""
-    trade = _trade(spark, sf_dir)
+    ``joined`` are the rows of :func:`trade` where they are stored; else each feed joins them anew.
+    """
+    trade_rows = trade(spark, sf_dir) if joined is None else joined
     parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_type").alias("fuel_type"))
     generation = _feed(
-        trade.join(parts, trade.l_partkey == parts.p_partkey).select(
+        trade_rows.join(parts, trade_rows.l_partkey == parts.p_partkey).select(
             F.col("seller").alias("respondent"), "fuel_type", "period", "amount"
         ),
         F.col("amount"), "respondent", "fuel_type", "period", batch="month",
     )
     demand = _feed(
-        trade.select(F.col("buyer").alias("respondent"), "period", "amount"),
+        trade_rows.select(F.col("buyer").alias("respondent"), "period", "amount"),
         F.col("amount"), "respondent", "period", batch="month",
     )
-    across = trade.filter(F.col("seller") != F.col("buyer"))
+    across = trade_rows.filter(F.col("seller") != F.col("buyer"))
     flows = across.select(
         F.inline(
             F.array(

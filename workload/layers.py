@@ -70,13 +70,19 @@ def curated(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def trade_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The joined rows that all three trade feeds sum up, joined once."""
+    path = _once(spark, sf_dir, "trade", lambda path: fixtures.trade(spark, sf_dir).write.parquet(path))
+    return spark.read.parquet(path)
+
+
 def warehouse(spark: SparkSession, sf_dir: str, dataset: str, trade: bool = False) -> DataFrame:
     """RAW table of all days."""
     spec = DATASETS[dataset]
 
     def write(path: str) -> None:
         if trade:
-            feed = fixtures.trade_feeds(spark, sf_dir)[spec.table]
+            feed = fixtures.trade_feeds(spark, sf_dir, trade_rows(spark, sf_dir))[spec.table]
         else:
             feed = fixtures.RAW_FEEDS[spec.table](spark, sf_dir)
         rows = warehouse_columns(feed, spec, F.col("dt"))
