@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmargin.functions import exact_difference, exact_sum, exact_times
-from gridmargin.operators.joins import HOUR, with_day
+from gridmargin.operators.joins import HOUR, merged, with_day
 
 # What the totals are summed over: an hour of all respondents together, or of each one.
 POOLED = ("period",)
@@ -31,7 +31,7 @@ def _gathered(generation: DataFrame, demand: DataFrame) -> DataFrame:
     )
     readings = demand.groupBy(*HOUR, "demand_mwh").agg(F.count(F.lit(1)).alias("copies"))
     share = exact_times(F.col("supply"), F.coalesce("copies", F.lit(1)))
-    return supply.join(readings, HOUR, "left").withColumn("share", share)
+    return supply.join(merged(readings), HOUR, "left").withColumn("share", share)
 
 
 def hourly_totals(
@@ -63,6 +63,8 @@ def join_totals(
 ) -> DataFrame:
     """All rows of ``hours`` with their total."""
     keys, columns = list(total_keys), [*hours.columns, "total_generation_mwh"]
+    if holds_hours(total_keys):
+        totals = merged(totals)
     if repeats:
         hours, totals, keys = with_day(hours), with_day(totals), [*keys, "day"]
     return hours.join(totals, keys, "left").select(*columns)

@@ -7,7 +7,9 @@ import re
 import pytest
 
 import __spark_entry__ as contract
-from gridmargin.operators.totals import PER_RESPONDENT, POOLED
+from gridmargin.operators.totals import PER_RESPONDENT, POOLED, reliability_base_from_staging
+from gridmargin.plans.views import models
+from workload import fixtures, layers
 from workload.compare import connect, difference
 from workload.oracle import ORACLE
 from workload.queries import _models, queries
@@ -117,3 +119,32 @@ def test_latest_row_filters_every_scan(spark):
     text = plan(contract.queries()["latest_reliability"](spark, SF_DIR))
     found = [s for s in text.splitlines() if "FileScan parquet" in s and "PushedFilters: [" in s]
     assert sum("EqualTo(period,ScalarSubquery" in s for s in found) == 3
+
+
+# Growth
+
+
+@pytest.mark.parametrize("keys", [POOLED, PER_RESPONDENT])
+@pytest.mark.parametrize("repeats", [False, True])
+def test_rows_per_hour_and_respondent_are_not_broadcast(spark, keys, repeats):
+    """Their files are small enough for it at any of the test sizes, the rows need not be."""
+    frames = models(layers.raw_tables(spark, SF_DIR), keys, repeats)
+    for name in ("mart_demand_vs_generation", "mart_grid_reliability"):
+        joins = [line for line in plan(frames[name]).splitlines() if "BroadcastHashJoin" in line]
+        assert not [line for line in joins if "respondent" in line], name
+    generation, demand = frames["stg_generation_by_fuel"], frames["stg_demand"]
+    base = reliability_base_from_staging(generation, demand, keys, repeats)
+    joins = [line for line in plan(base).splitlines() if "BroadcastHashJoin" in line]
+    assert not [line for line in joins if "respondent" in line]
+
+
+def test_trade_is_joined_once(spark, monkeypatch):
+    calls = []
+    monkeypatch.setattr(layers, "_written", {})
+    monkeypatch.setattr(fixtures, "trade", lambda *a, trade=fixtures.trade: calls.append(a) or trade(*a))
+    stored = layers.raw_tables(spark, SF_DIR, trade=True)
+    assert len(calls) == 1
+    for name, feed in fixtures.trade_feeds(spark, SF_DIR).items():
+        columns = sorted(set(feed.columns) & set(stored[name].columns))
+        assert feed.select(columns).exceptAll(stored[name].select(columns)).isEmpty()
+        assert feed.count() == stored[name].count() > 0
