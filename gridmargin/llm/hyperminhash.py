@@ -20,7 +20,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmargin.llm.common import checkpointed, connected_components, stored, table
@@ -31,7 +31,9 @@ MANTISSA = 10
 EMPTY = 65_535  # no register of 57 counts of zeros and ten bits reaches it
 _THROWN = 8  # shingles for each bucket, at least
 _CROWD = 16  # sets that may share a band value before longer bands take over
+_FEW = 4  # sets that may have a shingle before it is no longer rare
 _GROWTH = 4  # by so much more partners are asked in each round
+_WORDS_OF_BITS = 1 << 21
 _SLICE = 500
 _WORDS = Windows(1, 1, True)
 
@@ -171,6 +173,25 @@ def _shared(bands: DataFrame, name: str) -> DataFrame:
     return stored(held.join(counts, "key"), f"{name}-bands")
 
 
+def _probably_in(rows: DataFrame, members: DataFrame) -> DataFrame:
+    """``rows`` whose ``row`` ``members`` have, and some more: few travel to the join that follows.
+
+    Bits of hashes are broadcast, 16 for a member and 16 MB at most. An inner join must follow,
+    as Spark would do a semi join first.
+    """
+    words = min(_WORDS_OF_BITS, 64 + members.count() // 4)
+    place = F.xxhash64("row", F.lit(1))
+    word, bit = F.pmod(place, F.lit(words)), F.pmod(F.floor(place / words), F.lit(64))
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), bit.cast("int"))
+    bits = members.groupBy(word.alias("word")).agg(F.bit_or(mask).alias("bits"))
+    return (
+        rows.withColumn("word", word)
+        .join(F.broadcast(bits), "word")
+        .filter(F.col("bits").bitwiseAND(mask) != 0)
+        .drop("word", "bits")
+    )
+
+
 def _hubs(bands: DataFrame) -> DataFrame:
     """(key, other): of each key the set that shares most band values with others.
 
@@ -214,67 +235,155 @@ def _verified(batches: Iterator[pd.DataFrame], width: int, percent: int) -> Iter
         yield batch.loc[keep, ["a", "b"]]
 
 
+def _may_be_similar(common: Column, size: Column, other_size: Column, percent: int) -> Column:
+    """Whether sets with ``common`` shingles in common, at most, may have ``percent`` of their union."""
+    return (100 + percent) * common >= percent * (size + other_size)
+
+
+def _rare_shingles(texts: DataFrame, width: int) -> DataFrame:
+    """(shingle, set_id): the shingles that a few sets of ``texts`` have at most."""
+
+    def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for at in range(0, len(batch), _SLICE):
+                part = batch.iloc[at : at + _SLICE]
+                sets = [shingle_set(text, width) for text in part["text"]]
+                ids = np.repeat(part["set_id"].to_numpy(), [len(s) for s in sets])
+                yield pd.DataFrame({"shingle": np.concatenate(sets).view(np.int64), "set_id": ids})
+
+    held = stored(
+        texts.select("set_id", "text").mapInPandas(spread, "shingle long, set_id long"), "open-shingles"
+    )
+    few = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("holders")).filter(F.col("holders") <= _FEW)
+    return stored(held.join(few.select("shingle"), "shingle", "left_semi"), "rare-shingles")
+
+
+def _in_question(members: DataFrame, sizes: DataFrame, texts: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """What is still to be asked of ``members`` (key, set_id, m, root) of crowded values.
+
+    The first result holds the members that may be similar to another of their value with
+    which they share no rare shingle, with ``size`` and ``common``, the shingles that are not
+    rare. Such a pair has no more in common. The second result holds the pairs (a, b) of
+    members that share rare shingles and may be similar; what they may have in common is those
+    and the ones that are not rare. Copies of one text that were changed in different places
+    have many rare shingles, so few of those that are not similar are in question.
+    """
+    rare = _rare_shingles(texts, width)
+    known = stored(
+        sizes.join(rare.groupBy("set_id").agg(F.count(F.lit(1)).alias("rare")), "set_id", "left").select(
+            "set_id", "size", (F.col("size") - F.coalesce("rare", F.lit(0))).alias("common")
+        ),
+        "open-sizes",
+    )
+    sized = stored(members.join(known, "set_id"), "sized-bands")
+    smallest = sized.groupBy("key").agg(F.min("size").alias("smallest"))
+    able = sized.join(smallest, "key").filter(
+        _may_be_similar(F.col("common"), F.col("size"), F.col("smallest"), percent)
+    )
+    meeting = (
+        rare.toDF("shingle", "a")
+        .join(rare.toDF("shingle", "b"), "shingle")
+        .filter("a < b")
+        .groupBy("a", "b")
+        .agg(F.count(F.lit(1)).alias("shared"))
+        .join(known.toDF("a", "size", "common"), "a")
+        .join(known.toDF("b", "other_size", "other_common"), "b")
+    )
+    most = F.col("shared") + F.least("common", "other_common")
+    pairs = meeting.filter(_may_be_similar(most, F.col("size"), F.col("other_size"), percent))
+    roots = members.select("set_id", "root").distinct()
+    pairs = (
+        pairs.select("a", "b")
+        .join(roots.toDF("a", "root"), "a")
+        .join(roots.toDF("b", "other_root"), "b")
+        .filter("root <> other_root")
+    )
+    return able.select("key", "set_id", "m", "root", "size", "common"), pairs.select("a", "b")
+
+
+def _mixed(rooted: DataFrame) -> DataFrame:
+    """The keys whose members have several roots."""
+    return rooted.groupBy("key").agg(F.min("root").alias("c"), F.max("root").alias("d")).filter("c <> d").select("key")
+
+
 def similar_links(bands: DataFrame, sketches: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) that connect all sets that share a band value and are similar.
 
     In the first round the members of every value are asked against its hub, in the next ones
     against some leaders, more each time, chosen by a hash of the set; a value is done once
     links connect its members or all of them have been leaders. So a group of copies is settled
-    by few pairs, and a pair stays unasked only if its ends are connected.
+    by few pairs. A pair stays unasked only if its ends are connected or, in a crowded value, if
+    too few of their shingles are held by both (:func:`_in_question`).
     """
     least = percent / 100
     pairs_schema = "a long, b long"
     none = sketches.select(F.col("set_id").alias("a"), F.col("set_id").alias("b")).limit(0)
     links, asked, roots = none, none, none.toDF("node", "root")
-    leaders, waiting = 1, bands
+    leaders, rooted, more = 1, bands.withColumn("root", F.col("set_id")), none
     place = F.pmod(F.xxhash64("set_id"), F.lit(1 << 20)) / (1 << 20)
-    side = sketches.select("set_id", "size", "sketches")
     while True:
-        rooted = stored(
-            waiting.join(roots, waiting.set_id == roots.node, "left").select(
-                "key", "set_id", "m", F.coalesce("root", "set_id").alias("root")
-            ),
-            "rooted-bands",
-        )
         if leaders == 1:
             leading = _hubs(bands).withColumn("other_root", F.col("other"))
+            may = F.lit(True)
         else:
             leading = rooted.filter(place * F.col("m") < leaders).select(
-                "key", F.col("set_id").alias("other"), F.col("root").alias("other_root")
+                "key",
+                F.col("set_id").alias("other"),
+                F.col("root").alias("other_root"),
+                F.col("size").alias("other_size"),
+                F.col("common").alias("other_common"),
             )
+            both = F.least("common", "other_common")
+            may = _may_be_similar(both, F.col("size"), F.col("other_size"), percent)
         new = checkpointed(
             rooted.join(leading, "key")
-            .filter("root <> other_root")
+            .filter((F.col("root") != F.col("other_root")) & may)
             .select(F.least("set_id", "other").alias("a"), F.greatest("set_id", "other").alias("b"))
+            .unionAll(more)
             .distinct()
             .join(asked, ["a", "b"], "left_anti")
         )
+        side = sketches.select("set_id", "size", "sketches")
         likely = stored(
             new.join(side.toDF("b", "m", "y"), "b")
             .join(side.toDF("a", "n", "x"), "a")
             .mapInPandas(lambda rows: _likely(rows, least), pairs_schema),
             "likely-pairs",
         )
-        found = (
+        found = checkpointed(
             likely.join(texts.toDF("b", "y"), "b")
             .join(texts.toDF("a", "x"), "a")
             .mapInPandas(lambda rows: _verified(rows, width, percent), pairs_schema)
         )
-        links, asked = links.unionAll(checkpointed(found)), asked.unionAll(new)
-        open_ = rooted.filter(F.col("m") > leaders)
-        if open_.isEmpty():
+        asked = asked.unionAll(new)
+        open_ = rooted.filter(F.col("m") > leaders).select("key", "set_id", "m")
+        if not found.isEmpty():
+            links = links.unionAll(found)
+            roots = connected_components(links)
+        rooted = stored(
+            open_.join(roots, open_.set_id == roots.node, "left").select(
+                "key", "set_id", "m", F.coalesce("root", "set_id").alias("root")
+            ),
+            "rooted-bands",
+        )
+        members = stored(rooted.join(_mixed(rooted), "key", "left_semi"), "mixed-bands")
+        if members.isEmpty():
             return links
-        roots = connected_components(links)
-        ends = open_.join(roots, open_.set_id == roots.node, "left").select(
-            "key", F.coalesce(roots.root, "set_id").alias("root")
+        # What the next rounds read shrinks with the sets that are still to be asked.
+        left = stored(members.select("set_id").distinct(), "open-sets")
+        sketches = stored(sketches.join(left, "set_id", "left_semi"), "open-sketches")
+        texts = stored(texts.join(left, "set_id", "left_semi"), "open-texts")
+        sizes = sketches.select("set_id", "size")
+        crowded = members.filter(F.col("m") > _CROWD)
+        crowd = stored(crowded.select("set_id").distinct(), "crowded-sets")
+        able, more = _in_question(
+            crowded, sizes.join(crowd, "set_id"), texts.join(crowd, "set_id", "left_semi"), width, percent
         )
-        mixed = stored(
-            ends.groupBy("key").agg(F.min("root").alias("c"), F.max("root").alias("d")).filter("c <> d").select("key"),
-            "mixed-bands",
+        others = members.filter(F.col("m") <= _CROWD).join(sizes, "set_id")
+        rooted = stored(
+            able.unionByName(others.select("key", "set_id", "m", "root", "size", F.col("size").alias("common"))),
+            "waiting-bands",
         )
-        if mixed.isEmpty():
-            return links
-        waiting = open_.select("key", "set_id", "m").join(mixed, "key", "left_semi")
         leaders *= _GROWTH
 
 
@@ -306,16 +415,15 @@ def near_duplicate_groups(docs: DataFrame, width: int = 4, percent: int = 80) ->
     )
     members = stored(bands.select("set_id").distinct().join(sets.select("set_id", "row"), "set_id"), "members")
     first = (
-        full.select("set_id", "row", "size", "sketches")
-        .join(members.select("set_id", "row"), ["set_id", "row"], "left_semi")
+        _probably_in(full.select("set_id", "row", "size", "sketches"), members)
+        .join(members, ["set_id", "row"])
         .dropDuplicates(["set_id"])
     )
     sketches = stored(first.select("set_id", "size", "sketches"), "member-sketches")
     texts = stored(
-        keyed.select("row", "text")
-        .join(members.select("row"), "row", "left_semi")
-        .dropDuplicates(["row"])
+        _probably_in(keyed.select("row", "text"), members)
         .join(members, "row")
+        .dropDuplicates(["set_id"])
         .select("set_id", "text"),
         "member-texts",
     )

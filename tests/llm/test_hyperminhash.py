@@ -5,6 +5,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from gridmargin.llm import hyperminhash as module
 from gridmargin.llm.hyperminhash import SHORT, chance_equal, classes_of, estimated, near_duplicate_groups, registers, shingle_set
@@ -65,6 +66,58 @@ def test_groups_against_brute_force(spark, monkeypatch, crowd):
     assert sorted(map(tuple, got.collect()), key=str) == slow_groups(rows)
 
 
+def test_unlike_copies_of_a_text_are_not_asked_in_pairs(spark, monkeypatch):
+    """Copies changed in different places share many band values; few of their pairs are in question."""
+    rng = random.Random(11)
+    base = sentence(rng, 150).split()
+    texts = [" ".join(base)]
+    for i in range(600):
+        words = list(base)
+        for at in rng.sample(range(150), 2 + i % 12):
+            words[at] = sentence(rng, 1) + rng.choice("xyz")
+        texts.append(" ".join(words))
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    asked, keep = [], module.checkpointed
+    monkeypatch.setattr(module, "checkpointed", lambda df: asked.append(keep(df)) or asked[-1])
+    got = near_duplicate_groups(documents(spark, rows))
+    assert sorted(map(tuple, got.collect()), key=str) == slow_groups(rows)
+    assert (total := sum(pairs.count() for pairs in asked)) < 50 * len(rows), total
+
+
+def test_rare_shingles_decide_which_pairs_are_in_question(spark):
+    """A pair is left out only where its sets have too little in common."""
+    rng = random.Random(12)
+    base = sentence(rng, 60).split()
+    texts = []
+    for i in range(40):
+        words = list(base)
+        for at in rng.sample(range(60), i % 8):
+            words[at] = rng.choice("pq") + str(at)
+        texts.append(" ".join(words))
+    texts = list(dict.fromkeys(texts))
+    n = len(texts)
+    sets = [set(shingle_set(t, 4).tolist()) for t in texts]
+    members = spark.createDataFrame([(1, i, n, i) for i in range(n)], "key long, set_id long, m long, root long")
+    sizes = spark.createDataFrame([(i, len(s)) for i, s in enumerate(sets)], "set_id long, size long")
+    able, pairs = module._in_question(
+        members, sizes, spark.createDataFrame(list(enumerate(texts)), "set_id long, text string"), 4, 80
+    )
+    common = {r.set_id: r.common for r in able.collect()}
+    met = {tuple(r) for r in pairs.collect()}
+    for x, y in combinations(range(n), 2):
+        if 100 * len(sets[x] & sets[y]) >= 80 * len(sets[x] | sets[y]):
+            most = min(common.get(x, 0), common.get(y, 0))
+            assert (x, y) in met or 180 * most >= 80 * (len(sets[x]) + len(sets[y]))
+    assert len(met) < n * n // 4 and len(common) <= n
+
+
+def test_only_probable_rows_travel(spark):
+    rows = spark.range(5000).select((F.col("id") * 977).alias("row"), F.lit("text").alias("text"))
+    members = spark.range(0, 5000, 50).select((F.col("id") * 977).alias("row"))
+    kept = {r.row for r in module._probably_in(rows, members).collect()}
+    assert {r.row for r in members.collect()} <= kept and len(kept) < 1000
+
+
 def test_no_documents(spark):
     assert near_duplicate_groups(documents(spark, [])).count() == 0
     got = near_duplicate_groups(documents(spark, [(5, None, "en", "s", 0), (6, " ", "en", "s", 0)])).collect()
